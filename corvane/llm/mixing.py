@@ -42,9 +42,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
         .withColumn("open", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
         .withColumn("pool", F.sum("source_size").over(everything) * float(share))
         .withColumn("level", (F.col("pool") - F.col("capped")) / F.col("open"))
-        # The first source that its level doesn't fill sets the level of all after it.
+        # Later levels are lower: the first source that its level doesn't fill sets the level of all after it.
         .withColumn("fits", F.col("weight") * F.col("level") <= F.col("cap"))
-        .withColumn("found", F.min(F.when(F.col("fits"), F.col("level"))).over(everything))
+        .withColumn("found", F.max(F.when(F.col("fits"), F.col("level"))).over(everything))
     )
     level = F.coalesce(F.least(F.col("weight") * F.col("found"), F.col("cap")), F.col("cap"))
     return leveled.select("source", "source_size", level.alias("target"))
