@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import mixing, packing, pii, sharding
+from corvane.llm import fingerprints, language, mixing, packing, pii, sharding, url_filters
 from corvane.session import table
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -22,12 +26,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.interleave(table(spark, sf_dir, "documents"))
     none = F.lit(None).cast("int").alias("grown_shard")
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none)
 
 
-QUERIES = {f.__name__: f for f in (op3_pii, op4_packing, op5_mixing, op9_sharding)}
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filters, op3_pii, op4_packing, op5_mixing, op7_language, op9_sharding, op10_fingerprints)}
 
 ORACLES: dict[str, str] = {}
