@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import fingerprints, language, mixing, packing, pii, sharding, url_filters
+from corvane.llm import fingerprints, language, mixing, near_duplicates, packing, pii, sharding, url_filters
 from corvane.session import table
 
 
@@ -30,6 +30,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.learn_and_identify(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.components(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.interleave(table(spark, sf_dir, "documents"))
     none = F.lit(None).cast("int").alias("grown_shard")
@@ -40,6 +44,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op3_pii, op4_packing, op5_mixing, op7_language, op9_sharding, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op3_pii, op4_packing, op5_mixing, op7_language, op8_near_duplicates, op9_sharding, op10_fingerprints)}
 
 ORACLES: dict[str, str] = {}
