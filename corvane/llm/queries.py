@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import fingerprints, language, mixing, near_duplicates, packing, pii, sharding, url_filters
+from corvane.llm import ann, fingerprints, language, mixing, near_duplicates, packing, pii, sharding, url_filters
 from corvane.session import table
 
 
@@ -13,6 +13,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op3_pii, op4_packing, op5_mixing, op7_language, op8_near_duplicates, op9_sharding, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest, op3_pii, op4_packing, op5_mixing, op7_language, op8_near_duplicates, op9_sharding, op10_fingerprints)}
 
 ORACLES: dict[str, str] = {}
