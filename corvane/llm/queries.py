@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import ann, fingerprints, language, mixing, near_duplicates, packing, pii, sharding, url_filters
+from corvane.llm import ann, fingerprints, language, lm_scoring, mixing, near_duplicates, packing, pii, sharding, url_filters
 from corvane.session import table
 
 
@@ -31,6 +31,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.learn_and_identify(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest, op3_pii, op4_packing, op5_mixing, op7_language, op8_near_duplicates, op9_sharding, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest, op3_pii, op4_packing, op5_mixing, op6_lm_scoring, op7_language, op8_near_duplicates, op9_sharding, op10_fingerprints)}
 
 ORACLES: dict[str, str] = {}
