@@ -85,12 +85,12 @@ def _cell(key: Column, bounds: list[int]) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.coalesce(inside(at, step), F.lit(False)), step).otherwise(0))
 
 
-def with_next(rows: DataFrame, columns: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
-    """`rows` (doc_id, ...) with next_<column> of the following document by doc_id; after the last: the first.
+def with_next(rows: DataFrame, derived: dict[str, Column], columns: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
+    """`rows` (doc_id, ...) with `derived` columns, and next_<column> of the following document by doc_id; after the last: the first.
 
     Rows are dealt into ranges of doc_id at approximate quantiles and each range is ordered on its own; the
-    first row of the range after it is copied to its end. Null doc_id comes first; rows of equal doc_id are
-    ordered by `columns`' hash.
+    first row of the range after it is copied to its end. The derived columns are computed after the rows
+    are dealt, so they aren't shuffled. Null doc_id comes first; rows of equal doc_id are ordered by a hash.
     """
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
     cells = min(parts(rows.count(), cell_rows), MOST_CELLS)
@@ -102,11 +102,14 @@ def with_next(rows: DataFrame, columns: list[str], cell_rows: int = CELL_ROWS) -
     heads = keyed.groupBy("_cell").agg(F.min("_key").alias("_head"))
     order, everything = W.orderBy("_cell"), W.partitionBy()
     heads = heads.select("_head", F.coalesce(F.lag("_cell").over(order), F.max("_cell").over(everything)).alias("_to"))
-    tie = F.xxhash64(*columns)
-    wanted = keyed.join(heads, F.col("_key") == F.col("_head")).groupBy("_to").agg(F.min_by(F.struct(*rows.columns, "_key"), tie).alias("r"))
+    # There are MOST_CELLS heads at most.
+    wanted = rows.withColumn("_key", key).join(F.broadcast(heads), F.col("_key") == F.col("_head"))
+    tie = F.xxhash64(*rows.columns)
+    wanted = wanted.groupBy("_to").agg(F.min_by(F.struct(*rows.columns, "_key"), tie).alias("r"))
     ends = wanted.select("r.*", F.col("_to").alias("_cell"), F.lit(1).alias("_end"))
+    both = keyed.withColumn("_end", F.lit(0)).unionByName(ends).repartition("_cell")
+    both = both.select("*", tie.alias("_tie"), *[c.alias(name) for name, c in derived.items()])
     after = W.partitionBy("_cell").orderBy("_end", "_key", "_tie")
-    both = keyed.withColumn("_end", F.lit(0)).unionByName(ends).withColumn("_tie", tie)
     led = both.select("*", *[F.lead(c).over(after).alias(f"next_{c}") for c in columns])
     return led.where("_end = 0").drop("_key", "_cell", "_end", "_tie")
 
@@ -122,7 +125,7 @@ def against_next(documents: DataFrame, k: int = K) -> DataFrame:
     Returns doc_id, n_chars, edited, sketch, edited_sketch, next_sketch.
     """
     docs = require(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    led = with_next(fingerprint(docs, k), ["text", "sketch"])
+    led = with_next(docs, {"sketch": sketch(F.col("text"), k)}, ["text", "sketch"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))

@@ -23,6 +23,9 @@ MISSED = 5e-5
 #: Ids that are broadcast to pick rows from the corpus (16 bytes each); above, the rows are joined by shuffle.
 MOST_BROADCAST_IDS = 2_000_000
 
+#: Documents and shingles that one side of a comparison of a family's parts holds, about.
+PART_DOCUMENTS, PART_SHINGLES = 4096, 2_000_000
+
 _rng = np.random.default_rng(77)
 _MULTIPLY = (_rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
 _ADD = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)[:, None]
@@ -137,16 +140,56 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "ta", "b", "tb").mapInArrow(_confirm(percent), "a long, b long")
 
 
+def _links_within(percent: int, distance: int):
+    """Links among the documents (node, part, signature, text) of one task (family, i, j): within part i, or between i and j.
+
+    Signatures first, then exact intersections; a document is not compared with those that it is already
+    joined to, and one link is kept for each component that it joins.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        table = table.sort_by("node")
+        node, part = table.column("node").to_numpy(), table.column("part").to_numpy()
+        signs = np.array(table.column("signature").to_pylist(), np.int64).view(np.uint16).reshape(len(node), SYMBOLS)
+        sets = [s for _, _, words in blocks(table.column("text").combine_chunks()) for s in shingle_sets(words)]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        starts = np.cumsum(sizes) - sizes
+        names, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        mark, label, links = np.zeros(len(names), bool), np.arange(len(node)), []
+        for x in range(1, len(node)):
+            near = (label[:x] != label[x]) & (100 * np.minimum(sizes[:x], sizes[x]) >= percent * np.maximum(sizes[:x], sizes[x]))
+            if i != j:
+                near &= part[:x] != part[x]
+            to = np.flatnonzero(near)
+            to = to[(signs[to] != signs[x]).sum(axis=1) <= distance]
+            if not len(to):
+                continue
+            mark[ids[starts[x] : starts[x] + sizes[x]]] = True
+            first = np.cumsum(sizes[to]) - sizes[to]
+            hits = mark[ids[np.repeat(starts[to] - first, sizes[to]) + np.arange(first[-1] + sizes[to[-1]])]]
+            both = np.add.reduceat(hits, first, dtype=np.int64)
+            mark[ids[starts[x] : starts[x] + sizes[x]]] = False
+            for y in to[100 * both >= percent * (sizes[to] + sizes[x] - both)]:
+                if label[y] != label[x]:
+                    links.append((node[x], node[y]))
+                    label[label == label[y]] = label[x]
+        return pa.table([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def components(documents: DataFrame, percent: int = 80) -> DataFrame:
     """Classes of near duplicates among documents (doc_id, text).
 
     Documents are linked if their sets of 5-word shingles (words A-Z lower-cased) share at least `percent`
     of their union. Equal word sequences are one node. Nodes whose signatures agree on a chunk, but for the
-    error it may hold, meet under its key (`chunk_plan`). Under each key all nodes are first compared with its
-    least and its greatest node only; after these links are joined into components, keys that still hold
-    several components compare all pairs of different components, signatures first, in a join that gives
-    only pairs within that distance. So a large group of copies costs its size, not its square, and no pair is
-    left out that the signatures admit. Every link is confirmed on full sets.
+    error it may hold, meet under its key (`chunk_plan`). Under each key the nodes are compared, signatures
+    only, with the one of them that has most company in all its keys; nodes near such a hub form families. A
+    family's texts meet in tasks of bounded size that confirm links on full sets and give no more of them than
+    join its components. Pairs under a key from different families are compared in a join that gives only
+    those near by signature, and confirmed on full sets too. So no pair is left out that the signatures admit,
+    and what is written for a group of copies grows with its size, not its square.
 
     Null, empty or blank text: no shingles, linked with nothing. Fewer than five words: one shingle of all.
     Repeated rows fall together; a doc_id with several texts is one document with the links of all. Null
@@ -154,41 +197,49 @@ def components(documents: DataFrame, percent: int = 80) -> DataFrame:
     Returns doc_id, n_shingles, component_id, kept.
     """
     docs = require(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    distance = distance_for(percent)
     schema = "doc_id long, n_shingles long, h1 long, h2 long, signature array<long>"
     sketches = cut(docs.mapInArrow(_sketch, schema))
     same = sketches.where("n_shingles > 0").groupBy("h1", "h2").agg(
         F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature")
     )
     same = cut(same)
-    nodes = same.where("node is not null")
-    keys = nodes.select("node", "signature").mapInArrow(_keys(distance_for(percent)), "key long, node long")
-    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high")
-    members = cut(keys.join(shared, "key"))
-    ends = F.explode(F.array("low", "high"))
-    stars = members.select("node", ends.alias("hub")).where("node <> hub").select(F.least("node", "hub").alias("b"), F.greatest("node", "hub").alias("a"))
+    nodes = same.where("node is not null").select("node", "n", "signature")
+    keys = nodes.select("node", "signature").mapInArrow(_keys(distance), "key long, node long")
+    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low < high")
+    members = cut(keys.join(shared.select("key", "size"), "key"))
+    company = members.groupBy("node").agg(F.sum("size").alias("company"))
+    hubs = members.join(company, "node").groupBy("key").agg(F.max_by("node", F.struct("company", -F.col("node"))).alias("hub"))
+    stars = members.join(hubs, "key").where("node <> hub").select(F.least("node", "hub").alias("b"), F.greatest("node", "hub").alias("a")).distinct()
     signs = lambda id_, n, s: nodes.select(F.col("node").alias(id_), F.col("n").alias(n), F.col("signature").alias(s))
-    stars = stars.distinct().join(signs("a", "na", "sa"), "a").join(signs("b", "nb", "sb"), "b").where(_near(percent))
-    links = cut(confirmed(stars, docs, percent))
-    found = connected_components(links)
-    # What is left: keys with more than two nodes, of several components.
-    label = found.select("node", "component")
-    many = members.where("n > 2").select("key", "node").join(label, "node", "left")
-    many = many.select("key", "node", F.coalesce("component", "node").alias("c"))
-    open_ = many.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-    rest = cut(many.join(open_, "key"))
-    if not rest.isEmpty():
-        rest = rest.join(nodes.select("node", "n", "signature"), "node")
-        left = rest.select("key", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("signature").alias("sa"))
-        right = rest.select("key", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
-        met = left.join(right, (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & _near(percent))
-        tried = stars.select("a", "b")
-        more = confirmed(met.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), docs, percent)
-        found = connected_components(links.unionByName(more))
+    near = stars.join(signs("a", "na", "sa"), "a").join(signs("b", "nb", "sb"), "b").where(_near(percent)).select("a", "b")
+    family = connected_components(near).select("node", F.col("component").alias("family"))
+    placed = cut(nodes.join(family, "node"))
+    parts_ = F.greatest(F.ceil(F.count("*") / PART_DOCUMENTS), F.ceil(F.sum("n") / PART_SHINGLES)).cast("int")
+    wide = placed.groupBy("family").agg(parts_.alias("parts"))
+    dealt = placed.join(wide, "family").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    few = placed.count() <= MOST_BROADCAST_IDS
+    dealt = dealt.select(F.col("node").alias("doc_id"), "family", "parts", "part", "signature")
+    texts = docs.join(F.broadcast(dealt.select("doc_id").distinct()) if few else dealt.select("doc_id").distinct(), "doc_id", "left_semi")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    tasks = dealt.withColumn("other", other).select(
+        F.col("doc_id").alias("node"), "family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "signature"
+    )
+    met = tasks.join(texts.withColumnRenamed("doc_id", "node"), "node")
+    within = met.groupBy("family", "i", "j").applyInArrow(_links_within(percent, distance), "a long, b long")
+    # Keys whose nodes are of several families.
+    named = members.select("key", "node").join(family, "node", "left").select("key", "node", F.coalesce("family", "node").alias("c"))
+    open_ = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
+    rest = named.join(open_, "key").join(nodes, "node")
+    left = rest.select("key", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("signature").alias("sa"))
+    right = rest.select("key", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
+    across = left.join(right, (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & _near(percent))
+    found = connected_components(within.unionByName(confirmed(across.select("a", "b"), docs, percent)))
     classes = same.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class"))
-    # A doc_id with several texts: all its texts have the least of their classes.
-    named = sketches.where("n_shingles > 0").join(classes, ["h1", "h2"]).select("doc_id", "n_shingles", "class")
+    # A doc_id with several texts has one class: its texts are one node.
+    linked = sketches.where("n_shingles > 0").join(classes, ["h1", "h2"]).select("doc_id", "n_shingles", "class")
     alone = sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("class"))
-    return named.unionByName(alone).select(
+    return linked.unionByName(alone).select(
         "doc_id", "n_shingles", F.col("class").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("class")).alias("kept")
     )
 
