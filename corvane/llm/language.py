@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -132,15 +133,26 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: in
     return Model(languages, _vectors(found[0], languages, sums[0], 0.5), _vectors(found[1], languages, sums[1], 0.5))
 
 
-_ready: dict[int, Model] = {}
+_ready: dict[str, Model] = {}
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def share(documents: DataFrame, model: Model):
+    """The model as a broadcast; its number tells models of one session apart."""
+    words, grams = ({k: t[i].tolist() for k, i in names.items()} for names, t in ((model.words, model.table), (model.grams, model.gram_table)))
+    return documents.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, (model.languages, words, grams)))
+
+
+def ready(shared) -> Model:
+    """The broadcast model, set up once in a Python worker."""
     key = shared.value[0]
     if key not in _ready:
         _ready.clear()
         _ready[key] = Model(*shared.value[1]).prepared()
-    model = _ready[key]
+    return _ready[key]
+
+
+def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    model = ready(shared)
     for batch in batches:
         out = [model.predict(t) for t in batch.column("text").to_pylist()]
         kept = [batch.column(i) for i in range(batch.num_columns)]
@@ -157,8 +169,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     the model is broadcast and bounded by its parameters. Columns named lang_pred or score are replaced.
     """
     base = documents.drop("lang_pred", "score")
-    entries = [({k: t[i].tolist() for k, i in names.items()}) for names, t in ((model.words, model.table), (model.grams, model.gram_table))]
-    shared = documents.sparkSession.sparkContext.broadcast((id(entries), (model.languages, *entries)))
+    shared = share(base, model)
     schema = T.StructType([*base.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return base.mapInArrow(lambda it: _predict(it, shared), schema)
 
@@ -168,3 +179,21 @@ def learn_and_identify(documents: DataFrame, **options) -> DataFrame:
     rows = require(documents, "doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
     model = train(rows.where("not held_out"), **options)
     return identify(rows.select("doc_id", "text", "held_out"), model).drop("text")
+
+
+def keep_identified(documents: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
+    """documents whose language `model` tells with a score of at least `least`; all columns stay as they are.
+
+    Rejected: texts without a letter, null texts, and texts that no language of the model explains. If the
+    model knows no language, nothing can be told and nothing is rejected.
+    """
+    if not model.languages:
+        return documents
+    shared = share(documents, model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [ready(shared).predict(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([x != UNKNOWN and score >= least for x, score in told], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)

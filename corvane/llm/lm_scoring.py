@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,7 +72,7 @@ def _count(classes: int):
     return run
 
 
-_ready: dict[int, cm.Lookup] = {}
+_ready: dict[str, cm.Lookup] = {}
 
 
 def _score_words(shared, shares: np.ndarray):
@@ -187,7 +188,7 @@ def score(
     n, v = sum(totals[1:]), totals[0]
     shares = (np.array(totals[1:], np.float64) + 0.01) / (n + 0.01 * len(names))
     model = train(words, task_words)
-    shared = spark.sparkContext.broadcast((id(model), tuple(model)))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, tuple(model)))
     scored = words.select("h", "word", "c", "blocks", *names).mapInArrow(_score_words(shared, shares), "h long, c long, logp double, ratios binary, blocks array<int>")
     slices = scored.select(F.explode("blocks").alias("block"), "h", "c", "logp", "ratios")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"

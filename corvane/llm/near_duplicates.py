@@ -92,11 +92,15 @@ def _keys(distance: int):
 def differing(a: Column, b: Column) -> Column:
     """In how many of the symbols two signatures (arrays of longs) differ."""
 
+    low, high = 0x7FFF7FFF, 0x80008000
+
+    def half(x: Column) -> Column:
+        # The top bit of each 16-bit lane is set where the lane isn't zero.
+        return F.bit_count((x.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(x).bitwiseAND(F.lit(high)))
+
     def of(i: int) -> Column:
         x = a[i].bitwiseXOR(b[i])
-        for shift in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        return F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
+        return half(x.bitwiseAND(F.lit(0xFFFFFFFF))) + half(F.shiftrightunsigned(x, 32))
 
     return sum((of(i) for i in range(1, SYMBOLS * BITS // 64)), of(0))
 
