@@ -25,6 +25,11 @@ def latest(results: DataFrame, id_: str = "id", order: str = "attempt") -> DataF
     return best.select(id_, "stage", "r.*")
 
 
+def by_stage(a: Column, b: Column) -> Column:
+    """An order for array_sort of structs with a stage, which may hold maps."""
+    return F.when(a["stage"] < b["stage"], -1).when(a["stage"] > b["stage"], 1).otherwise(0)
+
+
 def fold(base: DataFrame, results: DataFrame, id_: str = "id") -> DataFrame:
     """base with stages (map stage to struct(status, seconds)), metrics (map, later stages by name win) and error.
 
@@ -33,8 +38,7 @@ def fold(base: DataFrame, results: DataFrame, id_: str = "id") -> DataFrame:
     """
     status = F.when(F.col("error").isNull(), "ok").otherwise("error")
     one = F.struct("stage", status.alias("status"), "seconds", "error", "metrics")
-    by_name = lambda a, b: F.when(a["stage"] < b["stage"], -1).when(a["stage"] > b["stage"], 1).otherwise(0)
-    by = results.groupBy(id_).agg(F.array_sort(F.collect_list(one), by_name).alias("all"))
+    by = results.groupBy(id_).agg(F.array_sort(F.collect_list(one), by_stage).alias("all"))
     stages = F.map_from_entries(F.transform("all", lambda s: F.struct(s["stage"], F.struct(s["status"].alias("status"), s["seconds"].alias("seconds")))))
     good = F.filter("all", lambda s: s["error"].isNull() & s["metrics"].isNotNull())
     entries = F.flatten(F.transform(good, lambda s: F.map_entries(s["metrics"])))

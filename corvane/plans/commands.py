@@ -164,7 +164,7 @@ def records(spark: SparkSession, out: str) -> DataFrame:
     results = _results(spark, out)
     base = _base(spark, out).drop("attempt")
     merged = stages.fold(base, results.select("id", "stage", "metrics", "error", "seconds"))
-    texts = results.where("error is null").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("stage", "texts"))).alias("t"))
+    texts = results.where("error is null").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("stage", "texts")), stages.by_stage).alias("t"))
     merged = merged.join(texts, "id", "left")
     text = F.coalesce(F.aggregate("t", F.lit(None).cast("string"), lambda s, e: F.coalesce(e["texts"]["text"], s)), F.when(F.col("silent"), F.lit("")))
     said = lambda key: F.aggregate("t", F.lit(None).cast("string"), lambda s, e: F.coalesce(e["texts"][key], s)).alias(key)
