@@ -24,7 +24,7 @@ SLOT_BITS = (16, 18, 20, 21, 22, 22)
 SEGMENT = 1 << 16
 END_WORD = b"\n"
 #: Bytes of words that are worked on at once.
-CHUNK_BYTES = 1 << 15
+CHUNK_BYTES = 1 << 16
 #: Confidence levels of the whole-beginning predictor and of the one of four bytes: together they choose the weights.
 LEVELS, MINOR_LEVELS = 14, 3
 #: Steps of the refinement's scale, its reach in logits, and its share of the result.
@@ -103,7 +103,7 @@ def bit_slots(batch: Batch, bit: int) -> tuple[np.ndarray, np.ndarray]:
     wide = batch.byte.astype(np.uint64)
     node = (np.uint64(1) << np.uint64(bit)) | (wide >> np.uint64(8 - bit))  # at bit 0 nothing is known
     slots = ((batch.contexts ^ (node * _NODE)) * _SPREAD) >> _SHIFT
-    return slots.astype(np.int64), ((batch.byte >> (7 - bit)) & 1).astype(np.int64)
+    return slots.view(np.int64), ((batch.byte >> (7 - bit)) & 1).astype(np.int64)
 
 
 def count_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,14 +160,17 @@ def _levels(seen: np.ndarray, context: int) -> np.ndarray:
     return np.minimum(seen, LEVELS - 1) if context == 0 else np.minimum(seen // 5, MINOR_LEVELS - 1)
 
 
-def left_out_inputs(counts: list[np.ndarray], slots: np.ndarray, value: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logits of the predictors (bytes by predictors) and the gate, with each word's own bit left out once."""
+def left_out_inputs(counts: list[np.ndarray], slots: np.ndarray, value: np.ndarray, owns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of the predictors (bytes by predictors) and the gate, with each word's own bit left out once.
+
+    owns: what one occurrence of the word adds to each predictor.
+    """
     logits, gate = np.empty(slots.shape[::-1], np.float32), np.zeros(slots.shape[1], np.uint8)
     one = value.astype(np.float32)
     for k, slot in enumerate(slots):
         pair = counts[k][slot]
-        own = (discounted(count, CONTEXTS[k]) - discounted(count - 1, CONTEXTS[k])).astype(np.float32)
-        zeros, ones = np.maximum(pair[:, 0] - own * (1 - one), 0), np.maximum(pair[:, 1] - own * one, 0)
+        mine = owns[k] * one
+        zeros, ones = np.maximum(pair[:, 0] - (owns[k] - mine), 0), np.maximum(pair[:, 1] - mine, 0)
         logits[:, k] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
         if CONTEXTS[k] in (4, 0):
             gate += _levels(zeros + ones, CONTEXTS[k]) * np.uint8(MINOR_LEVELS if CONTEXTS[k] == 0 else 1)
@@ -213,13 +216,14 @@ def learn(counts: list[np.ndarray]):
         curve = np.repeat(np.eye(len(CONTEXTS))[None] * FIRM, len(seen), axis=0)
         refine = np.zeros(LEVELS * BINS * 2)
         for data in batches:
-            words, c = data.column("word").to_pylist(), data.column("c").to_numpy().astype(np.float64)
-            for part, some, _ in chunks(words, c):
+            words, counted = data.column("word").to_pylist(), data.column("c").to_numpy().astype(np.float64)
+            for part, some, _ in chunks(words, counted):
                 batch = lay_out(part)
                 weight = some[batch.word]
+                owns = [(discounted(weight, c) - discounted(weight - 1, c)).astype(np.float32) for c in CONTEXTS]
                 for bit in range(8):
                     slots, value = bit_slots(batch, bit)
-                    logits, gate = left_out_inputs(table, slots, value, weight)
+                    logits, gate = left_out_inputs(table, slots, value, owns)
                     order = np.argsort(gate, kind="stable")
                     gates, first = np.unique(gate[order], return_index=True)
                     x, y, w = logits[order].astype(np.float64), value[order], weight[order]

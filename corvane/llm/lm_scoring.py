@@ -130,6 +130,13 @@ def _score_block(n: int, v: int, shares: np.ndarray):
     return run
 
 
+def _over_batches(run, schema: str):
+    """A function of batches as one of a group's table."""
+    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    fields = pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))])
+    return lambda table: pa.Table.from_batches(list(run(iter(table.select(["word", "c"]).to_batches()))), fields)
+
+
 def train(vocabulary: DataFrame, task_words: int = TASK_WORDS) -> cm.Model:
     """A context-mixing model of the words (word, c); c is how often training text holds the word.
 
@@ -137,12 +144,15 @@ def train(vocabulary: DataFrame, task_words: int = TASK_WORDS) -> cm.Model:
     """
     spark = vocabulary.sparkSession
     known = vocabulary.where("c > 0").select("h", "word", "c")
-    dealt = known.repartition(parts(known.count(), task_words), "h").select("word", "c")
-    segments = dealt.mapInArrow(cm.count_tables, "predictor int, segment int, data binary")
+    # Groups, not partitions: how many tables come up depends on the words alone.
+    task = F.pmod(F.col("h"), F.lit(parts(known.count(), task_words)))
+    dealt = known.select(task.alias("task"), "word", "c").groupBy("task")
+    segments = dealt.applyInArrow(_over_batches(cm.count_tables, "predictor int, segment int, data binary"), "predictor int, segment int, data binary")
     summed = segments.groupBy("predictor", "segment").applyInArrow(cm.add_segments, "predictor int, segment int, data binary")
     counts = cm.assemble(summed.toLocalIterator())
     shared = spark.sparkContext.broadcast(counts)
-    learned = dealt.mapInArrow(lambda it: cm.learn(shared.value)(it), "weights binary, seen binary, refine binary").collect()
+    schema = "weights binary, seen binary, refine binary"
+    learned = dealt.applyInArrow(_over_batches(lambda it: cm.learn(shared.value)(it), schema), schema).collect()
     shared.unpersist()
     return cm.combine(counts, learned)
 
