@@ -57,8 +57,8 @@ class Model:
         self.languages, n = languages, len(languages)
         self.words = {w: i for i, w in enumerate(words)}
         self.grams = {g: i for i, g in enumerate(grams)}
-        self.table = np.array(list(words.values()), dtype=np.float32).reshape(-1, n)
-        self.gram_table = np.array(list(grams.values()), dtype=np.float32).reshape(-1, n)
+        self.table = np.array(list(words.values()), dtype=np.float32).reshape(len(words), n)
+        self.gram_table = np.array(list(grams.values()), dtype=np.float32).reshape(len(grams), n)
 
     def prepared(self) -> Model:
         self.known = len(self.words)

@@ -174,10 +174,11 @@ def expand(documents: DataFrame, **options) -> DataFrame:
     # Rows with equal doc_id and size may differ in text: their copies are dealt in the order of the texts.
     turn = W.partitionBy("doc_id", "source", "size")
     asked = plan.withColumn("turn", F.row_number().over(turn.orderBy(F.desc("copies")))).where("copies > 0")
-    asked = asked.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "turn", "copies")
+    names = {"doc_id": "_mix_id", "source": "_mix_source", "size": "_mix_size", "turn": "_mix_turn", "copies": "_mix_copies"}
+    asked = asked.select(*[F.col(old).alias(new) for old, new in names.items()])
     rows = documents.withColumn("_size", words(F.col("text")))
     rows = rows.withColumn("_turn", F.row_number().over(W.partitionBy("doc_id", "source", "_size").orderBy("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("_size") == F.col("z"))
-    taken = rows.join(asked, same & (F.col("_turn") == F.col("turn")))
-    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_source"))
+    taken = rows.join(asked, same & (F.col("_size") == F.col("_mix_size")) & (F.col("_turn") == F.col("_mix_turn")))
+    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
     return copies.select(*[F.col(f"`{c}`") for c in documents.columns])

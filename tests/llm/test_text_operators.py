@@ -1,0 +1,273 @@
+"""Personal data, packing, language, language-model scores, near duplicates and fingerprints against brute force."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from corvane.llm import context_mixing as cm
+from corvane.llm import fingerprints, language, lm_scoring, near_duplicates, packing, pii
+from corvane.llm.wordhash import blocks, shingle_sets
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SYLLABLES = {"en": ["th", "er", "on", "an", "re", "he"], "de": ["sch", "ung", "ein", "ich", "der", "ver"], "fr": ["eau", "oi", "que", "ment", "ou", "ai"]}
+
+
+def prose(rng, lang, words):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(words))
+
+
+def corpus(n=120, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = rng.choice(sorted(SYLLABLES))
+        rows.append((i, prose(rng, lang, rng.randint(1, 120)), lang, f"src{i % 3}"))
+    rows[5] = (5, rows[4][1], *rows[5][2:])
+    rows[7] = (7, rows[6][1] + " tail", *rows[7][2:])
+    return rows
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def shingles(text):
+    w = words(text)
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+BASE = [
+    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+]
+
+
+def plain_spans(text):
+    found = [(0, *m.span()) for m in BASE[0].finditer(text)]
+    found += [(1, *m.span()) for m in BASE[1].finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    found += [(2, *m.span()) for m in BASE[2].finditer(text) if 16 <= len(d := re.sub("[ -]", "", m[0])) <= 19 and pii.luhn(d)]
+    return found + [(3, *m.span()) for m in BASE[3].finditer(text) if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+
+
+def test_base_spans_against_patterns():
+    rng = random.Random(2)
+    for _ in range(20_000):
+        letters = rng.choice(["ab@.-1", "0123.25 -", "+12() .-3", "a@b.c-+1 2.é", "12 -"])
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+        assert [s for s in pii.find_spans(text) if s[0] < 4] == plain_spans(text), text
+
+
+def test_added_spans_and_redaction():
+    text = "IBAN: GB82 WEST 1234 5698 7654 32, SSN 123-45-6789, account no. 12345678 at ftp://me:pw@host.example/x and a.b@c.de."
+    kinds = [pii.KINDS[k] for k, _, _ in pii.find_spans(text)]
+    assert {"iban", "ssn", "account", "login_url", "email"} <= set(kinds)
+    clean = pii.redact(text, pii.find_spans(text))
+    assert "WEST" not in clean and "6789" not in clean and "pw@" not in clean and "a.b@" not in clean
+    assert pii.find_spans("The account of 1999, call me: 12. Nothing here @ all.") == []
+
+
+def test_pii_digest(spark):
+    rows = [(1, "x a@b.cd 4111111111111111"), (2, None), (3, ""), (3, "1.2.3.4"), (None, "+1 (222) 333-4444")]
+    found = {(r["doc_id"], r["spans"]): r for r in pii.digest(spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1))).collect()}
+    assert (1, "email:2:8,card:9:25") in found and (3, "ip:0:7") in found and (None, "phone:0:17") in found
+    assert found[2, ""]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500])
+def test_first_fit_decreasing(n):
+    rng = random.Random(n)
+    lengths = [rng.randint(1, 2048) for _ in range(n)]
+    bins, offsets = packing.first_fit_decreasing(lengths)
+    room, want = [], [0] * n
+    for i in sorted(range(n), key=lambda i: (-lengths[i], i)):
+        k = next((k for k, r in enumerate(room) if r >= lengths[i]), len(room))
+        if k == len(room):
+            room.append(2048)
+        room[k] -= lengths[i]
+        want[i] = k
+    assert bins == want
+    by = collections.defaultdict(list)
+    for b, o, x in zip(bins, offsets, lengths, strict=True):
+        by[b].append((o, x))
+    for parts in by.values():
+        at = 0
+        for o, x in sorted(parts):
+            assert o == at
+            at += x
+        assert at <= 2048
+
+
+def test_packing_round_trip(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rows = [(i, t) for i, t, *_ in corpus(40)] + [(100, None), (101, ""), (102, "a <|endoftext|> b"), (103, "lang " * 5000), (7, "again"), (7, "again"), (None, "no id")]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").withColumn("offset", F.lit("clash"))).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = collections.Counter()
+    for i, t in rows:
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, packing.END_ID]
+        for a in range(0, len(ids), 2048):
+            piece = ids[a : a + 2048]
+            want[i, a, len(piece), zlib.crc32(np.array(piece, "<u4").tobytes()), len(ids)] += 1
+    assert collections.Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in found) == want
+    at = collections.defaultdict(list)
+    for r in found:
+        at[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in sorted(p)[:k]) == sorted(p)[k][0] for p in at.values() for k in range(len(p)))
+    assert all(sum(n for _, n in p) <= 2048 for p in at.values())
+
+
+def test_language(spark):
+    rows = [*corpus(200), (900, None, "en", "s"), (901, "", "en", "s"), (902, "12 !? ²", None, "s"), (903, "schungverich", None, "s")]
+    found = {r["doc_id"]: r for r in language.learn_and_identify(frame(spark, rows).withColumn("score", F.lit(1))).collect()}
+    assert len(found) == len(rows) and all(0 <= r["score"] <= 1 for r in found.values())
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in found.items())
+    held = [(i, lang) for i, _, lang, _ in rows[:200] if found[i]["held_out"]]
+    assert sum(found[i]["lang_pred"] == lang for i, lang in held) >= 0.95 * len(held)
+    assert [found[i]["lang_pred"] for i in (900, 901, 902, 903)] == ["und", "und", "und", "de"]
+    model = language.train(frame(spark, rows))
+    kept = language.keep_identified(frame(spark, rows).withColumn("score", F.lit("mine")), model)
+    assert kept.columns[-1] == "score" and {900, 901, 902}.isdisjoint(r["doc_id"] for r in kept.collect()) and kept.count() >= 200
+    nothing = language.learn_and_identify(frame(spark, [(1, "words", None, "s")])).first()
+    assert (nothing["lang_pred"], nothing["score"]) == ("und", 0.0)
+
+
+def test_base_scores(spark):
+    rows = [*corpus(80), (500, None, None, None), (501, "  ", "en", "s"), (None, "no id", "en", "s")]
+    found = lm_scoring.score(frame(spark, rows).withColumn("score", F.lit(0)), block_documents=30, task_words=200).collect()
+    tokens = {i: [*words(t), "\n"] for i, t, *_ in rows}
+    out = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i in tokens}
+    counts = collections.Counter(w for i, ws in tokens.items() if not out[i] for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    assert len(found) == len(rows)
+    for r in found:
+        ws = tokens[r["doc_id"]]
+        want = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (out[r["doc_id"]], len(ws), sum(counts[w] > 0 for w in ws), n)
+        assert math.isclose(r["base_score"], want, rel_tol=1e-9) and r["score"] < 0
+
+
+def test_word_probabilities_sum_to_at_most_one():
+    rng = random.Random(3)
+    seen = collections.Counter(prose(rng, "en", 1).encode() for _ in range(3000))
+    seen[cm.END_WORD] = 100
+    batch = pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()))], names=["word", "c"])
+    rows = []
+    for s in cm.count_tables(iter([batch])):
+        t = cm.add_segments(pa.Table.from_batches([s]))
+        rows.append((t["predictor"][0].as_py(), t["segment"][0].as_py(), t["data"][0].as_py()))
+    counts = cm.assemble(rows)
+    learned = [(b["weights"][0].as_py(), b["seen"][0].as_py(), b["refine"][0].as_py()) for b in cm.learn(counts)(iter([batch]))]
+    scores = dict(zip(seen, cm.word_scores(cm.Lookup(cm.combine(counts, learned)), list(seen)), strict=True))
+    total = sum(10**s for s in scores.values())
+    assert 0.8 < total <= 1 + 1e-9
+    common = seen.most_common(20)
+    assert all(abs(scores[w] - math.log10(c / sum(seen.values()))) < 0.35 for w, c in common)
+
+
+def brute_components(rows, percent):
+    sets = {i: shingles(t) for i, t in rows}
+    label = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((label[a], label[b]))
+                label = {k: x if v == y else v for k, v in label.items()}
+    return {i: (len(sets[i]), label[i]) for i in sets}
+
+
+def near_rows():
+    rng = random.Random(5)
+    rows = [(i, t) for i, t, *_ in corpus(60)] + [(100, None), (101, ""), (102, " \t"), (103, "one two"), (104, "ONE  two"), (105, "a b c d"), (106, "a b c d e")]
+    base = prose(rng, "fr", 200).split()
+    for k in range(70):
+        w = list(base)
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = f"edit{k}"
+        rows.append((200 + k, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates(spark, percent, monkeypatch):
+    # Small parts, so that a family meets in several tasks.
+    monkeypatch.setattr(near_duplicates, "PART_DOCUMENTS", 20)
+    rows = near_rows()
+    docs = spark.createDataFrame([*rows, rows[-1], (None, "a null id")], "doc_id long, text string").withColumn("kept", F.lit(1))
+    found = near_duplicates.components(docs, percent).collect()
+    want = brute_components(rows, percent)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found if r["doc_id"] is not None}
+    assert got == want and len(found) == len(rows) + 2
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+    stay = near_duplicates.drop_near_duplicates(docs, percent)
+    assert stay.columns == docs.columns
+    ids = sorted(r["doc_id"] for r in stay.collect() if r["doc_id"] is not None)
+    assert ids == sorted({c for _, c in want.values()})
+
+
+def test_keys_cover_the_distance():
+    rng = np.random.default_rng(1)
+    for percent in (80, 85, 95):
+        distance = near_duplicates.distance_for(percent)
+        plan = near_duplicates.chunk_plan(distance)
+        for _ in range(300):
+            wrong = set(rng.choice(near_duplicates.SYMBOLS, distance, replace=False).tolist())
+            assert any(wrong.isdisjoint(p) for p in plan)
+
+
+def test_shingle_hashes_match_sets():
+    texts = ["", "One two", "one TWO", *[t for _, t in near_rows() if t]]
+    found = [s for _, _, w in blocks(pa.array(texts)) for s in shingle_sets(w)]
+    assert [len(s) for s in found] == [len(shingles(t)) for t in texts]
+    assert np.array_equal(found[1], found[2])
+    for a, b in ((-1, -2), (10, -1), (-3, -9)):
+        assert len(np.intersect1d(found[a], found[b])) == len(shingles(texts[a]) & shingles(texts[b]))
+
+
+def test_fingerprints(spark):
+    rows = [*[(i * 3, t) for i, t, *_ in corpus(60)], (500, None), (501, "é" * 7), (502, "word " * 3000)]
+    found = {r["doc_id"]: r for r in fingerprints.digest(spark.createDataFrame(rows, "doc_id long, text string").withColumn("sketch", F.lit(0))).collect()}
+    order = sorted(rows)
+    for (i, t), (_, after) in zip(order, [*order[1:], order[0]], strict=True):
+        t, after, r = t or "", after or "", found[i]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        for name, other in (("near_edited", edited), ("near_next", after)):
+            a, b = shingles(t), shingles(other)
+            want = len(a & b) / len(a | b) if a | b else 1.0
+            assert abs(r[name] - want) < (1e-9 if len(a | b) < fingerprints.K else 0.2)
+    assert found[12]["fingerprint"] == found[15]["fingerprint"] and found[500]["fingerprint"] == ""
+
+
+def test_sketches_merge(spark):
+    a, b = "one two three four five six seven", "three four five six seven eight nine"
+    both = spark.createDataFrame([(a, b)], "a string, b string").select(*[fingerprints.sketch(F.col(c)).alias(c) for c in "ab"])
+    r = both.select(
+        fingerprints.merge(F.col("a"), F.col("b")).alias("m"), fingerprints.resemblance(F.col("a"), F.col("b")).alias("j"),
+        fingerprints.containment(F.col("a"), F.col("b")).alias("c"), fingerprints.distinct(F.col("a")).alias("n"),
+    ).first()
+    assert (len(r["m"]), r["j"], r["n"]) == (5, 1 / 5, 3.0) and math.isclose(r["c"], 1 / 3)
+
+
+EMPTY = "doc_id long, text string, lang string, source string"
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], EMPTY)
+    for run in (pii.digest, packing.pack, language.learn_and_identify, lm_scoring.score, near_duplicates.components, near_duplicates.drop_near_duplicates, fingerprints.digest, pii.scrub):
+        assert run(none).count() == 0
