@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import ann, fingerprints, language, lm_scoring, mixing, near_duplicates, packing, pii, sharding, url_filters
+from corvane.llm.oracles import ORACLES as ORACLES
 from corvane.session import table
 
 
@@ -54,5 +55,3 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest, op3_pii, op4_packing, op5_mixing, op6_lm_scoring, op7_language, op8_near_duplicates, op9_sharding, op10_fingerprints)}
-
-ORACLES: dict[str, str] = {}
