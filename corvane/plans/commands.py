@@ -59,20 +59,36 @@ def _same_run(spark: SparkSession, path: str, identity: Any) -> None:
         _save(spark, path, identity)
 
 
-def _measure(folder: str, attempt: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _probe(folder: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Path, hash, rate and duration of each distinct source, read once however many rows use it."""
+
+    def one(name: str) -> tuple:
+        try:
+            path = audio.resolve(name, folder)
+            found = audio.info(path)
+            return name, path, audio.file_hash(path), found["sample_rate"], found["duration"], None
+        except (OSError, ValueError, RuntimeError, EOFError) as problem:
+            return name, None, None, None, None, str(problem) or type(problem).__name__
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([one(n) for n in pdf["name"]], columns=["name", "path", "sha256", "rate", "seconds", "problem"])
+
+    return run
+
+
+def _measure(attempt: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     names = [c.split()[0] for c in BASE.split(", ")]
 
     def one(row: dict) -> dict:
         try:
-            path = audio.resolve(row["audio"], folder)
-            row |= {"audio": path, "source_sha256": audio.file_hash(path)}
-            found = audio.info(path)
+            if row["problem"] or row["reference_problem"]:
+                raise ValueError(row["problem"] or row["reference_problem"])
+            row |= {"audio": row["path"], "source_sha256": row["sha256"], "source_sample_rate": row["rate"]}
             begin = row["start_sample"] / row["timebase_hz"] if row["timebase_hz"] else row["start"] or 0.0
-            finish = row["end_sample"] / row["timebase_hz"] if row["timebase_hz"] else row["end"] or found["duration"]
-            if row["reference_audio"]:
-                row["reference_sha256"] = audio.file_hash(audio.resolve(row["reference_audio"], folder))
-            clip = dsp.checked(audio.decode(path, begin, finish))
-            row |= dsp.signals(clip) | {"start": begin, "end": finish, "source_sample_rate": found["sample_rate"]}
+            finish = row["end_sample"] / row["timebase_hz"] if row["timebase_hz"] else row["end"] or row["seconds"]
+            clip = dsp.checked(audio.decode(row["path"], begin, finish))
+            row |= dsp.signals(clip) | {"start": begin, "end": finish}
         except (OSError, ValueError, RuntimeError) as problem:
             row["error"] = str(problem) or type(problem).__name__
         return row | {"attempt": attempt}
@@ -85,16 +101,30 @@ def _measure(folder: str, attempt: int) -> Callable[[Iterator[pd.DataFrame]], It
     return run
 
 
+def _prepared(stage: Stage, row: Mapping[str, Any]) -> Mapping[str, Any] | None:
+    """What prepare measured already, for the diarization stage: of the same model and source, or an error."""
+    given = json.loads(row["input"])
+    if stage.name != "diarization" or not given.get("prepared_diarization"):
+        return None
+    if canonical(given.get("diarization_identity") or {}) != canonical(dict(stage.identity)):
+        raise ValueError("prepared diarization is of another model")
+    if given.get("source_sha256") not in (None, row["source_sha256"]):
+        raise ValueError("prepared diarization is of another source")
+    return {k: v for k, v in given["prepared_diarization"].items() if isinstance(v, int | float | str)}
+
+
 def _apply(stage: Stage, attempt: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = None
         for pdf in batches:
             out = []
             for row in pdf.astype(object).where(pdf.notna(), None).to_dict("records"):
-                model = model or stage.make()
                 began, numbers, texts, error = time.monotonic(), {}, {}, None
                 try:
-                    found = model(audio.decode(row["audio"], row["start"], row["end"]), row)
+                    found = _prepared(stage, row)
+                    if found is None:
+                        model = model or stage.make()
+                        found = model(audio.decode(row["audio"], row["start"], row["end"]), row)
                     for key, value in found.items():
                         if value is None or isinstance(value, str):
                             texts[key] = value
@@ -130,15 +160,18 @@ def score(spark: SparkSession, path: str, out: str, run: Sequence[Stage], retry_
         _same_run(spark, f"{out}/identity/{stage.name}", dict(stage.identity))
     rows, attempt = manifest.read(spark, path), time.time_ns()
     total = rows.count()
-    changed: list[DataFrame] = []
     todo = rows
     if exists(spark, f"{out}/base"):
         known = _base(spark, out)
         todo = rows.join(known.where("error is null") if retry_errors else known, "id", "left_anti")
     if not todo.isEmpty():
         names = [c.split()[0] for c in BASE.split(", ")]
-        wide = todo.select("*", *[F.lit(None).alias(n) for n in names if n not in todo.columns])
-        wide.mapInPandas(_measure(path, attempt), BASE).write.mode("append").parquet(f"{out}/base")
+        used = todo.select(F.explode(F.array_compact(F.array("audio", "reference_audio"))).alias("name")).distinct()
+        found = used.mapInPandas(_probe(path), "name string, path string, sha256 string, rate int, seconds double, problem string")
+        reference = found.select(F.col("name").alias("r"), F.col("sha256").alias("reference_sha256"), F.col("problem").alias("reference_problem"))
+        wide = todo.join(found, F.col("audio") == F.col("name"), "left").join(reference, F.col("reference_audio") == F.col("r"), "left")
+        wide = wide.select("*", *[F.lit(None).alias(n) for n in names if n not in wide.columns])
+        wide.mapInPandas(_measure(attempt), BASE).write.mode("append").parquet(f"{out}/base")
     base = _base(spark, out)
     for stage in run:
         missing = stages.pending(base, _results(spark, out), stage.name, stage.languages, retry_errors)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.operators import groups, intervals, policy, selection, splits, stages, vad
+from corvane.operators import diarization, groups, intervals, policy, selection, speakers, splits, stages, vad
 
 BOUNDS = {"overlap_ratio": {"max": 0}, "speaker_consistency": {"min": 0.2}, "speaker_similarity": {"min": 0.7}, "dnsmos_ovrl": {"min": 2}, "reference_cer": {"max": 0.1}}
 TTS = {"profiles": {"tts": {"languages": {"en": {"synthetic": BOUNDS}}}}}
@@ -172,3 +172,30 @@ def test_components_and_groups(spark):
     grouped = splits.assign(splits.grouped(spark.createDataFrame(rows, "id string, k array<string>"), F.col("k")))
     got = {r["id"]: (r["root"], r["split"]) for r in grouped.collect()}
     assert {got[i] for i in "123"} == {got["1"]} and got["1"][0] == "audio:a" and got["4"][0] == "audio:q"
+
+
+def test_diarization_summary(spark):
+    one = lambda *on: [1.0 if k in on else 0.0 for k in range(8)]
+    stored = [("e", 0, [one(0), one(1)]), ("f", 0, [one(0, 1), one(1)]), ("g", 0, [one(*range(8))] * 2)]
+    frames = diarization.frames_of(spark.createDataFrame(stored, "episode string, a long, p array<array<double>>"))
+    spans = [("e", 80, 240), ("f", 80, 240), ("g", 0, 320), ("e", 0, 400), ("f", 0, 900)]
+    found = {(r["episode"], r["begin"]): r for r in diarization.summarize(spark.createDataFrame(spans, "episode string, begin long, finish long"), frames).collect()}
+    e = found["e", 80]
+    assert (e["diar_speakers"], e["overlap_ratio"]) == (2, 0.0)
+    assert [(t["start"], t["end"], t["speaker"]) for t in e["speaker_turns"]] == [(0.0, 0.005, "speaker_0"), (0.005, 0.01, "speaker_1")]
+    f = found["f", 80]
+    assert (f["overlap_ratio"], f["overlap_seconds"]) == (0.5, 0.005) and not f["speaker_capacity_reached"]
+    assert found["g", 0]["speaker_capacity_reached"] and found["g", 0]["diar_speakers"] == 8
+    assert found["e", 0]["unscored_tail_samples"] == 80 and found["e", 0]["boundary_cut"] and found["e", 0]["diar_speakers"] is None
+    assert found["f", 0]["error"] == "incomplete_diarization_coverage"
+    with pytest.raises(ValueError):
+        diarization.checked(np.full((3, 8), 1.5))
+    assert [(a, b) for a, b, _ in diarization.chunks(np.zeros((3001, 8)))] == [(0, 480_000), (480_000, 480_160)]
+
+
+def test_speakers(spark):
+    rows = [("a", "h", 0.0, 1.0, [1.0, 0.0], [[1.0, 0.0], [0.0, 1.0], [0.0, 1.0]]), ("b", "h", 0.0, 1.0, [0.0, 1.0], [[1.0, 0.0]]), ("c", None, None, None, [1.0, 0.0], [])]
+    table = spark.createDataFrame(rows, "id string, reference_sha256 string, reference_start double, reference_end double, embedding array<float>, windows array<array<float>>")
+    found = {r["id"]: r for r in speakers.compare(speakers.embed_references(table, lambda r: [2.0, 0.0])).collect()}
+    assert (found["a"]["speaker_similarity"], found["b"]["speaker_similarity"], found["c"]["speaker_similarity"]) == (1.0, 0.0, None)
+    assert found["a"]["speaker_consistency"] == 0.5 and found["b"]["speaker_status"] == "review" and not found["c"]["speaker_reference_available"]
