@@ -8,7 +8,7 @@ import json
 import sys
 
 from corvane.plans import commands
-from corvane.session import local_session
+from corvane.session import local_session, ship
 
 
 def parser() -> argparse.ArgumentParser:
@@ -60,6 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     try:
         spark = local_session()
+        ship(spark)
         if args.verb == "prepare":
             said = {"segments": commands.prepare(spark, args.manifest, args.out, _found(args.voice))}
         elif args.verb == "score":

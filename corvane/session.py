@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,17 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: a zip goes to the executors unless they find the folder themselves."""
+    context, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root in known or os.getcwd() == root or getattr(context, "_corvane_shipped", False):
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "corvane"), "zip", root, "corvane")
+    context.addPyFile(archive)
+    context._corvane_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
