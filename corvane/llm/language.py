@@ -24,7 +24,7 @@ ORDERS = (5, 4, 3, 2, 1)
 #: Words that make a full-strength decision; longer texts don't count as surer than these.
 SURE_WORDS = 25
 #: Vectors of unseen words that a Python worker keeps.
-CACHE = 200_000
+CACHE = 100_000
 UNKNOWN = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -53,12 +53,23 @@ def _vectors(entries: dict[str, dict[str, float]], languages: list[str], totals:
 class Model:
     """Vectors by word and by n-gram, one number for each language. Bounded by the parameters above."""
 
-    def __init__(self, languages: list[str], words: dict[str, list[float]], grams: dict[str, list[float]]) -> None:
+    def __init__(self, languages: list[str], words: list[str], table: np.ndarray, grams: list[str], gram_table: np.ndarray) -> None:
         self.languages, n = languages, len(languages)
-        self.words = {w: i for i, w in enumerate(words)}
-        self.grams = {g: i for i, g in enumerate(grams)}
-        self.table = np.array(list(words.values()), dtype=np.float32).reshape(len(words), n)
-        self.gram_table = np.array(list(grams.values()), dtype=np.float32).reshape(len(grams), n)
+        self.words, self.grams = {w: i for i, w in enumerate(words)}, {g: i for i, g in enumerate(grams)}
+        self.table = np.asarray(table, np.float32).reshape(len(words), n)
+        self.gram_table = np.asarray(gram_table, np.float32).reshape(len(grams), n)
+
+    @classmethod
+    def of(cls, languages: list[str], words: dict[str, list[float]], grams: dict[str, list[float]]) -> Model:
+        return cls(languages, list(words), np.array(list(words.values())), list(grams), np.array(list(grams.values())))
+
+    def packed(self) -> tuple:
+        """The model as a few strings and arrays; entries hold letters and the marks of word ends only."""
+        return self.languages, "\n".join(self.words), self.table, "\n".join(self.grams), self.gram_table
+
+    @classmethod
+    def unpacked(cls, languages: list[str], words: str, table: np.ndarray, grams: str, gram_table: np.ndarray) -> Model:
+        return cls(languages, words.split("\n") if words else [], table, grams.split("\n") if grams else [], gram_table)
 
     def prepared(self) -> Model:
         self.known = len(self.words)
@@ -110,7 +121,7 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: in
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
-        return Model([], {}, {})
+        return Model.of([], {}, {})
     limits = F.create_map(*[F.lit(x) for k in languages for x in (k, int(min(1.0, per_language / counts[k]) * (1 << 30)))])
     chosen = rows.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) < limits[F.col("lang")])
     words = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("key"))
@@ -130,7 +141,7 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: in
             into.setdefault(r["key"], {})[r["lang"]] = r["n"]
             total[r["lang"]] = total.get(r["lang"], 0.0) + r["n"]
     words.unpersist()
-    return Model(languages, _vectors(found[0], languages, sums[0], 0.5), _vectors(found[1], languages, sums[1], 0.5))
+    return Model.of(languages, _vectors(found[0], languages, sums[0], 0.5), _vectors(found[1], languages, sums[1], 0.5))
 
 
 _ready: dict[str, Model] = {}
@@ -138,8 +149,7 @@ _ready: dict[str, Model] = {}
 
 def share(documents: DataFrame, model: Model):
     """The model as a broadcast; its number tells models of one session apart."""
-    words, grams = ({k: t[i].tolist() for k, i in names.items()} for names, t in ((model.words, model.table), (model.grams, model.gram_table)))
-    return documents.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, (model.languages, words, grams)))
+    return documents.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model.packed()))
 
 
 def ready(shared) -> Model:
@@ -147,14 +157,14 @@ def ready(shared) -> Model:
     key = shared.value[0]
     if key not in _ready:
         _ready.clear()
-        _ready[key] = Model(*shared.value[1]).prepared()
+        _ready[key] = Model.unpacked(*shared.value[1]).prepared()
     return _ready[key]
 
 
 def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     model = ready(shared)
     for batch in batches:
-        out = [model.predict(t) for t in batch.column("text").to_pylist()]
+        out = [model.predict(t.as_py()) for t in batch.column("text")]
         kept = [batch.column(i) for i in range(batch.num_columns)]
         new = [pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())]
         yield pa.RecordBatch.from_arrays([*kept, *new], names=[*batch.schema.names, "lang_pred", "score"])
@@ -193,7 +203,8 @@ def keep_identified(documents: DataFrame, model: Model, least: float = 0.4) -> D
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [ready(shared).predict(t) for t in batch.column("text").to_pylist()]
+            model = ready(shared)
+            told = [model.predict(t.as_py()) for t in batch.column("text")]
             yield batch.filter(pa.array([x != UNKNOWN and score >= least for x, score in told], pa.bool_()))
 
     return documents.mapInArrow(keep, documents.schema)

@@ -254,7 +254,7 @@ def digest(documents: DataFrame) -> DataFrame:
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        texts = [None if t is None else redact(t, find_spans(t)) for t in batch.column(at).to_pylist()]
+        texts = [None if (t := x.as_py()) is None else redact(t, find_spans(t)) for x in batch.column(at)]
         yield batch.set_column(at, "text", pa.array(texts, pa.string()))
 
 
