@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +18,14 @@ SHARE = 1.5
 MOST = 2
 #: Rows of a source that one rounding run holds, about.
 CELL_ROWS = 4096
+#: Sources up to which a table of one row per source (under 200 bytes) is broadcast; above, rows are joined by shuffle.
+MOST_SOURCES = 50_000
+#: Numbers of copies that are broadcast to their documents (about 100 bytes each); above, they are joined by shuffle.
+MOST_BROADCAST_ROWS = 500_000
+
+
+def _small(df: DataFrame, sources: int) -> DataFrame:
+    return F.broadcast(df) if sources <= MOST_SOURCES else df
 
 
 def words(text: Column) -> Column:
@@ -50,7 +61,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     return leveled.select("source", "source_size", level.alias("target"))
 
 
-def balance(histogram: DataFrame, goals: DataFrame, most: float = MOST, tolerance: float = 1e-9, max_rounds: int = 60) -> DataFrame:
+def balance(histogram: DataFrame, goals: DataFrame, most: float = MOST, sources: int = 1 << 62, tolerance: float = 1e-9, max_rounds: int = 60) -> DataFrame:
     """source, size, n and source, source_size, target to source, mean, tilt: one Newton step per distributed pass.
 
     The rates closest in relative entropy to an even base on 0..most, given a source's total, are
@@ -70,7 +81,7 @@ def balance(histogram: DataFrame, goals: DataFrame, most: float = MOST, toleranc
         x = F.col("size") / F.col("mean")
         rate = float(most) / (1 + F.exp(-F.col("tilt") * x))
         slope = rate * (1 - rate / float(most)) * x
-        joined = histogram.join(state.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        joined = histogram.join(_small(state.withColumnRenamed("source", "s"), sources), F.col("source").eqNullSafe(F.col("s")))
         sums = joined.groupBy("source").agg(
             F.sum(F.col("n") * F.col("size") * rate).alias("total"), F.sum(F.col("n") * F.col("size") * slope).alias("curve"),
             *[F.first(c).alias(c) for c in ("mean", "source_size", "target", "tilt", "low", "high")],
@@ -113,13 +124,14 @@ def mix(
     sizes = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("rows"))
     goals = targets(sizes.select("source", "source_size"), weights, share, most)
     goals = cut(goals.alias("g").join(sizes.alias("z"), F.col("g.source").eqNullSafe(F.col("z.source"))).select("g.source", "g.source_size", "target", "rows"))
-    tilts = balance(histogram, goals, most).withColumnRenamed("source", "s")
+    sources = goals.count()
+    tilts = balance(histogram, goals, most, sources).withColumnRenamed("source", "s")
     plan = goals.join(tilts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
     # Sources that take nothing or everything have no tilt.
     tilted = float(most) / (1 + F.exp(-F.col("tilt") * F.col("size") / F.col("mean")))
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("tilt").isNotNull(), tilted).when(F.col("target") > 0, float(most)).otherwise(0.0)
     salt = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.ceil(F.col("rows") / cell_rows))
-    rated = docs.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
+    rated = docs.join(_small(plan, sources), F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "size", "source_size", "target", rate.alias("rate"), salt.alias("cell")
     )
     order = W.partitionBy("source", "cell").orderBy(F.desc("size"), "doc_id")
@@ -133,10 +145,10 @@ def mix(
         .withColumn("copies", F.greatest(F.lit(0), F.least(F.lit(most), F.col("copies"))).cast("long"))
         .select("doc_id", "source", "size", "source_size", "target", "copies")
     )
-    return _fix(cut(dealt), most, closeness, max_fixes)
+    return _fix(cut(dealt), most, sources, closeness, max_fixes)
 
 
-def _fix(dealt: DataFrame, most: int, closeness: float, max_fixes: int) -> DataFrame:
+def _fix(dealt: DataFrame, most: int, sources: int, closeness: float, max_fixes: int) -> DataFrame:
     for _ in range(max_fixes):
         taken = dealt.groupBy("source").agg(
             F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("goal"), F.max("size").alias("largest")
@@ -150,7 +162,7 @@ def _fix(dealt: DataFrame, most: int, closeness: float, max_fixes: int) -> DataF
         movable = (F.col("size") > 0) & (F.col("copies") + step).between(0, most)
         left = F.abs(F.col("off") + step * F.col("size"))
         best = (
-            dealt.join(off, here)
+            dealt.join(_small(off, sources), here)
             .where(movable & (left < F.abs("off")))
             .groupBy("source")
             .agg(F.min(F.struct(left.alias("left"), "size", "copies", "doc_id", step.alias("step"))).alias("best"))
@@ -162,23 +174,39 @@ def _fix(dealt: DataFrame, most: int, closeness: float, max_fixes: int) -> DataF
         # One row of several equal ones: the first by number among them.
         same = W.partitionBy("source", "doc_id", "size", "copies").orderBy(F.lit(0))
         hit = here & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("size") == F.col("z")) & (F.col("copies") == F.col("c"))
-        chosen = dealt.join(best, hit, "left_semi").withColumn("turn", F.row_number().over(same))
-        chosen = chosen.join(best, hit).withColumn("copies", F.col("copies") + F.when(F.col("turn") == 1, F.col("step")).otherwise(0))
-        dealt = cut(dealt.join(best, hit, "left_anti").unionByName(chosen.select(*dealt.columns)))
+        chosen = dealt.join(_small(best, sources), hit, "left_semi").withColumn("turn", F.row_number().over(same))
+        chosen = chosen.join(_small(best, sources), hit).withColumn("copies", F.col("copies") + F.when(F.col("turn") == 1, F.col("step")).otherwise(0))
+        dealt = cut(dealt.join(_small(best, sources), hit, "left_anti").unionByName(chosen.select(*dealt.columns)))
     return dealt
 
 
 def expand(documents: DataFrame, **options) -> DataFrame:
-    """documents with each row as many times as `mix` takes it, none where it takes none."""
+    """documents with each row as many times as `mix` takes it, none where it takes none.
+
+    Copies belong to doc_id, source and size; rows that share all three, and only these, are told apart by the
+    order of their texts. All others meet their number of copies in one join, without a shuffle of the texts
+    while there are at most MOST_BROADCAST_ROWS numbers.
+    """
     plan = mix(documents, **options)
-    # Rows with equal doc_id and size may differ in text: their copies are dealt in the order of the texts.
-    turn = W.partitionBy("doc_id", "source", "size")
-    asked = plan.withColumn("turn", F.row_number().over(turn.orderBy(F.desc("copies")))).where("copies > 0")
-    names = {"doc_id": "_mix_id", "source": "_mix_source", "size": "_mix_size", "turn": "_mix_turn", "copies": "_mix_copies"}
-    asked = asked.select(*[F.col(old).alias(new) for old, new in names.items()])
+    names = {"doc_id": "_mix_id", "source": "_mix_source", "size": "_mix_size"}
+    key, short = list(names), list(names.values())
+    plan = cut(plan.select(*[F.col(old).alias(new) for old, new in names.items()], F.col("copies").alias("_mix_copies")))
+    seen = plan.groupBy(*short).agg(F.count("*").alias("_mix_rows"), F.max("_mix_copies").alias("_mix_copies"))
+    single = seen.where("_mix_rows = 1 and _mix_copies > 0")
+    turn = F.row_number().over(W.partitionBy(*short).orderBy(F.desc("_mix_copies")))
+    several = seen.where("_mix_rows > 1").select(*short)
+    same_plan = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in short]
+    dealt = plan.alias("a").join(several.alias("b"), reduce(and_, same_plan), "left_semi").withColumn("_mix_turn", turn)
+
     rows = documents.withColumn("_size", words(F.col("text")))
-    rows = rows.withColumn("_turn", F.row_number().over(W.partitionBy("doc_id", "source", "_size").orderBy("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_source"))
-    taken = rows.join(asked, same & (F.col("_size") == F.col("_mix_size")) & (F.col("_turn") == F.col("_mix_turn")))
+    here = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip([*key[:2], "_size"], short, strict=True)]
+    few = plan.count() <= MOST_BROADCAST_ROWS
+    small = F.broadcast if few else lambda df: df
+    alone = rows.join(small(single), reduce(and_, here))
+    order = F.row_number().over(W.partitionBy("doc_id", "source", "_size").orderBy("text"))
+    shared = rows.join(small(several), reduce(and_, here), "left_semi").withColumn("_turn", order)
+    shared = shared.join(dealt, reduce(and_, [*here, F.col("_turn") == F.col("_mix_turn")])).where("_mix_copies > 0")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    taken = alone.select(*columns, "_mix_copies").unionByName(shared.select(*columns, "_mix_copies"))
     copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-    return copies.select(*[F.col(f"`{c}`") for c in documents.columns])
+    return copies.select(*columns)
