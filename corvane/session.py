@@ -38,6 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send rows of whole texts to Python in batches of at most `rows`, so that a batch is a few MB; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's spark.checkpoint.dir; set a local folder only where none is set."""
     context = spark.sparkContext
