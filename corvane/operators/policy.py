@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,8 +67,8 @@ def _reasons(*items: Column) -> Column:
     return F.array_compact(F.array(*items))
 
 
-def _violations(bounds: Mapping, columns: Mapping[str, Column]) -> tuple[Column, Column]:
-    """Reasons outside and missing of one cell, each in the policy's order."""
+def _violations(bounds: Mapping, columns: Mapping[str, Column]) -> tuple[list[Column], list[Column]]:
+    """For each metric of a cell, in the policy's order: whether its value is outside, and whether it is missing."""
     outside, missing = [], []
     for metric, limits in bounds.items():
         value = finite(columns[metric]) if metric in columns else F.lit(None).cast("double")
@@ -75,10 +77,9 @@ def _violations(bounds: Mapping, columns: Mapping[str, Column]) -> tuple[Column,
             over |= value < float(limits["min"])
         if "max" in limits:
             over |= value > float(limits["max"])
-        outside.append(F.when(value.isNotNull() & over, f"{metric}:outside_bounds"))
-        missing.append(F.when(value.isNull(), f"{metric}:missing"))
-    none = F.array().cast("array<string>")
-    return (_reasons(*outside), _reasons(*missing)) if bounds else (none, none)
+        outside.append(F.coalesce(over, F.lit(False)))
+        missing.append(value.isNull())
+    return outside, missing
 
 
 def _result(status: str | Column, reasons: Column) -> Column:
@@ -91,12 +92,11 @@ def _said(*reasons: str) -> Column:
 
 
 def _by_bounds(bounds: Mapping, columns: Mapping[str, Column]) -> Column:
+    """Reasons outside come before missing ones; without any the record is accepted."""
     outside, missing = _violations(bounds, columns)
-    return (
-        F.when(F.size(outside) > 0, _result("reject", F.concat(outside, missing)))
-        .when(F.size(missing) > 0, _result("review", missing))
-        .otherwise(_result("accept", F.array().cast("array<string>")))
-    )
+    told = [F.when(x, f"{m}:outside_bounds") for m, x in zip(bounds, outside, strict=True)] + [F.when(x, f"{m}:missing") for m, x in zip(bounds, missing, strict=True)]
+    status = F.when(reduce(or_, outside), "reject").when(reduce(or_, missing), "review").otherwise("accept")
+    return _result(status, _reasons(*told))
 
 
 def truth(name: str, columns: Mapping[str, Column]) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import dsp
 from corvane.functions.hashing import canonical
-from corvane.functions.text import agreement, normalize
+from corvane.functions.text import agreement, kept, normalize
 from corvane.operators import policy as rules
 from corvane.operators import selection, splits, stages, vad
 from corvane.sources import audio, manifest
@@ -213,7 +213,7 @@ def records(spark: SparkSession, out: str) -> DataFrame:
 def decide(rows: DataFrame, policy: Mapping, profile: str | None = None) -> DataFrame:
     """records with status and reasons."""
     columns = {c: F.col(c) for c in rows.columns}
-    text = normalize(F.col("text"), F.col("language"))
+    text = kept(F.col("text"))
     if profile is None:
         rules.validate_policy(policy)
         found = rules.decision(policy, columns, text)

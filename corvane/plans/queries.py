@@ -146,7 +146,7 @@ DECISIONS = _decision_sql()
 def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy.validate_policy(POLICY, LANGUAGES)
     rows = _records(spark, sf_dir)
-    found = policy.decision(POLICY, {c: F.col(c) for c in rows.columns}, text.normalize(F.col("text"), compose=False))
+    found = policy.decision(POLICY, {c: F.col(c) for c in rows.columns}, text.kept(F.col("text"), compose=False))
     return rows.withColumn("d", found).select("doc_id", "text", "language", "kind", "duration_s", "d.status", "d.reasons")
 
 
@@ -194,7 +194,7 @@ def profile_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ok_stages": F.array_compact(F.array(F.when(id_ % 13 != 0, "asr"), F.when(id_ % 5 != 0, "alignment_qwen"))),
         "alignment_status": F.when(id_ % 19 == 0, "review").otherwise("ok"),
     }
-    found = policy.profile_decision(PROFILE, "asr", columns, text.normalize(F.col("text"), compose=False))
+    found = policy.profile_decision(PROFILE, "asr", columns, text.kept(F.col("text"), compose=False))
     return rows.withColumn("d", found).select("doc_id", "d.status", F.array_join("d.reasons", ",").alias("reasons"))
 
 
