@@ -168,9 +168,9 @@ def left_out_inputs(counts: list[np.ndarray], slots: np.ndarray, value: np.ndarr
     logits, gate = np.empty(slots.shape[::-1], np.float32), np.zeros(slots.shape[1], np.uint8)
     one = value.astype(np.float32)
     for k, slot in enumerate(slots):
-        pair = counts[k][slot]
+        pair = counts[k].take(slot)
         mine = owns[k] * one
-        zeros, ones = np.maximum(pair[:, 0] - (owns[k] - mine), 0), np.maximum(pair[:, 1] - mine, 0)
+        zeros, ones = np.maximum(pair.real - (owns[k] - mine), 0), np.maximum(pair.imag - mine, 0)
         logits[:, k] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
         if CONTEXTS[k] in (4, 0):
             gate += _levels(zeros + ones, CONTEXTS[k]) * np.uint8(MINOR_LEVELS if CONTEXTS[k] == 0 else 1)
@@ -182,6 +182,7 @@ class Lookup:
 
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.weights = model.weights.astype(np.float32).T.copy()
         self.logits = []
         self.levels = {}
         for k, table in enumerate(model.counts):
@@ -191,9 +192,11 @@ class Lookup:
                 self.levels[k] = _levels(pair.sum(axis=1), CONTEXTS[k]) * np.uint8(MINOR_LEVELS if CONTEXTS[k] == 0 else 1)
 
     def mixed(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        gate = sum(table[slots[k]] for k, table in self.levels.items())
-        weights = self.model.weights.astype(np.float32)
-        return sum(self.logits[k][slot] * weights[:, k][gate] for k, slot in enumerate(slots)), gate
+        gate = sum(table.take(slots[k]) for k, table in self.levels.items())
+        mixed = np.zeros(slots.shape[1], np.float32)
+        for k, slot in enumerate(slots):
+            mixed += self.logits[k].take(slot) * self.weights[k].take(gate)
+        return mixed, gate
 
 
 def _bins(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +214,8 @@ def learn(counts: list[np.ndarray]):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [c.astype(np.float32) for c in counts]
+        # A pair of counts is read as one number of eight bytes.
+        table = [c.astype(np.float32).reshape(-1).view(np.complex64) for c in counts]
         weights, seen = start_weights(), np.zeros(LEVELS * MINOR_LEVELS)
         curve = np.repeat(np.eye(len(CONTEXTS))[None] * FIRM, len(seen), axis=0)
         refine = np.zeros(LEVELS * BINS * 2)
