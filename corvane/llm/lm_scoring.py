@@ -15,8 +15,8 @@ from corvane.llm.common import parts, require
 from corvane.llm.wordhash import Words, blocks
 from corvane.session import cut
 
-#: Documents whose distinct words meet in one task, and distinct words that one task learns from.
-BLOCK_DOCUMENTS, TASK_WORDS = 8192, 1_000_000
+#: Documents and bytes of text whose distinct words meet in one task, about, and distinct words that one task learns from.
+BLOCK_DOCUMENTS, BLOCK_TEXT, TASK_WORDS = 8192, 48_000_000, 1_000_000
 SMOOTHING = 0.1
 #: Classes of documents with word frequencies of their own: the most frequent values of the class column, and one for the rest.
 MOST_CLASSES = 7
@@ -180,7 +180,8 @@ def score(
     docs = require(documents, "doc_id", "text", *[c for c in [class_column] if c]).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"), named.alias("class")
     )
-    count = parts(docs.count(), block_documents)
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()
+    count = max(parts(size["n"], block_documents), parts(size["b"], BLOCK_TEXT))
     kinds = docs.where("not held_out and class is not null").groupBy("class").agg(F.count("*").alias("n"))
     kinds = [r["class"] for r in kinds.orderBy(F.desc("n"), "class").limit(most_classes).collect()]
     number = F.lit(len(kinds))
