@@ -7,6 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.session import text_batches
+
 #: A word: a run without space, tab, line feed, vertical tab, form feed or carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,8 +23,9 @@ def parts(rows: int, each: int) -> int:
 
 
 def require(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, in order; all else that the input carries is left aside."""
+    """Only the named columns, in order; all else that the input carries is left aside. Batches for Python get small."""
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
+    text_batches(df.sparkSession)
     return df.select(*names)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.llm.common import require
+from corvane.session import text_batches
 
 #: Documents of a language that teach, about: a bounded sample by a seeded hash of doc_id, as whole texts.
 SAMPLE_PER_LANGUAGE = 4000
@@ -137,9 +138,10 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: in
     sums: list[dict[str, float]] = [{}, {}]
     kept = (_top(words.where("n > 1"), ["lang"], "key", MOST_WORDS), _top(grams, ["lang", "order"], "key", MOST_GRAMS))
     for into, total, top in zip(found, sums, kept, strict=True):
-        for r in top.select("lang", "key", "n").collect():
-            into.setdefault(r["key"], {})[r["lang"]] = r["n"]
-            total[r["lang"]] = total.get(r["lang"], 0.0) + r["n"]
+        table = top.select("lang", "key", "n").toArrow()
+        for lang, key, n in zip(*(table.column(c).to_pylist() for c in ("lang", "key", "n")), strict=True):
+            into.setdefault(key, {})[lang] = n
+            total[lang] = total.get(lang, 0.0) + n
     words.unpersist()
     return Model.of(languages, _vectors(found[0], languages, sums[0], 0.5), _vectors(found[1], languages, sums[1], 0.5))
 
@@ -178,6 +180,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     knows no language. Ties: the first language by code point. No documents: no rows. Narrow, no shuffle;
     the model is broadcast and bounded by its parameters. Columns named lang_pred or score are replaced.
     """
+    text_batches(documents.sparkSession)
     base = documents.drop("lang_pred", "score")
     shared = share(base, model)
     schema = T.StructType([*base.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -199,6 +202,7 @@ def keep_identified(documents: DataFrame, model: Model, least: float = 0.4) -> D
     """
     if not model.languages:
         return documents
+    text_batches(documents.sparkSession)
     shared = share(documents, model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

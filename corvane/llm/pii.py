@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.common import require
+from corvane.session import text_batches
 
 #: Kinds in the order of a document's span list; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "account", "login_url")
@@ -260,6 +261,7 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scrub(documents: DataFrame) -> DataFrame:
     """documents with every span replaced by its kind's tag; n_chars, where present, follows the new text."""
+    text_batches(documents.sparkSession)
     out = documents.mapInArrow(_redacted, documents.schema)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))

@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES * 2)
+        size = max(n, BLOCK_BYTES + BLOCK_BYTES // 4)
         both = []
         for base in (_BASE, _INVERSE):
             table = np.full(size, base, np.uint64)
