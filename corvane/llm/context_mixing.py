@@ -17,9 +17,13 @@ from corvane.llm.wordhash import mix
 
 #: Bytes of context of each predictor; 0 stands for the whole beginning of the word.
 CONTEXTS = (1, 2, 3, 4, 6, 0)
-LONG = (6, 0)
-#: Slots of each predictor's table, as powers of two; a slot counts zeros and ones. About 90 MB in all.
+#: Slots of each predictor's table, as powers of two; a slot counts zeros and ones. These are the least sizes:
+#: the table of six bytes grows with the distinct words up to MOST_BITS, as each worker holds it; that of the whole
+#: beginning is split by the words' first bytes and grows without a bound.
 SLOT_BITS = (16, 18, 20, 21, 22, 22)
+MOST_BITS = 24
+#: Words with the same first bytes meet in one run; a run holds about so many words, and its own table.
+FIRST_BYTES, RUN_WORDS = 4, 50_000
 #: Floats of a table that travel as one row.
 SEGMENT = 1 << 16
 END_WORD = b"\n"
@@ -34,13 +38,12 @@ FIRM = 30.0
 PRIOR = 0.4
 
 _NODE, _SPREAD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-_SHIFT = np.array([[64 - b] for b in SLOT_BITS], np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UNSTEP = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 class Model(NamedTuple):
-    counts: list  # for each predictor slots by (zeros, ones), float16
+    counts: list  # for each predictor slots by (zeros, ones), float16; None for the whole beginning: each run of words has its own
     weights: np.ndarray  # gates by predictors
     refine: np.ndarray  # levels by BINS, probability of a one
 
@@ -48,13 +51,41 @@ class Model(NamedTuple):
 class Batch(NamedTuple):
     byte: np.ndarray  # all words' bytes, each word with its terminator
     word: np.ndarray  # index of the word of each byte
+    place: np.ndarray  # bytes before it in its word
     contexts: np.ndarray  # predictors by bytes
 
 
-def discounted(count: np.ndarray, context: int) -> np.ndarray:
-    """What a word that occurs `count` times adds to a predictor: long contexts leave one occurrence out, so
-    the many words that occur once don't crowd their tables."""
-    return np.maximum(count - 1, 0) if context in LONG else count
+def table_bits(words: int) -> tuple[int, ...]:
+    """Table sizes for so many distinct training words: a slot for each of the about 8 bits that a word adds to
+    the six-byte contexts behind its sixth byte."""
+    grown = min(MOST_BITS, (8 * words).bit_length())
+    return tuple(max(b, grown) if c == 6 else b for b, c in zip(SLOT_BITS, CONTEXTS, strict=True))
+
+
+def runs(words: list[bytes]) -> Iterator[np.ndarray]:
+    """Indices of about RUN_WORDS words each, in a fixed mixed order; words with the same first bytes are in one run."""
+    order = sorted(range(len(words)), key=words.__getitem__)
+    at, rng = 0, np.random.default_rng(0)
+    while at < len(order):
+        end = min(at + RUN_WORDS, len(order))
+        while end < len(order) and words[order[end]][:FIRST_BYTES] == words[order[end - 1]][:FIRST_BYTES]:
+            end += 1
+        yield rng.permutation(np.array(order[at:end]))
+        at = end
+
+
+def whole_counts(words: list[bytes], counts: np.ndarray) -> np.ndarray:
+    """Zeros and ones of the whole beginnings of one run's words, in a table of at least two slots for each bit."""
+    size = sum(len(w) + 1 - min(len(w), FIRST_BYTES) for w, c in zip(words, counts, strict=True) if c > 0)
+    bits = max(10, (16 * size).bit_length())
+    table = np.zeros(2 << bits, np.float32)
+    for part, c, _ in chunks(words, counts):
+        batch = lay_out(part)
+        weight = c[batch.word].astype(np.float32)
+        for bit in range(8):
+            slots, value = bit_slots(batch, bit, (bits,), slice(CONTEXTS.index(0), None))
+            np.add.at(table, 2 * slots[0] + value, weight)
+    return table.reshape(-1, 2)
 
 
 def lay_out(words: list[bytes]) -> Batch:
@@ -83,7 +114,7 @@ def lay_out(words: list[bytes]) -> Batch:
         sums = np.zeros(len(byte) + 1, np.uint64)
         np.cumsum(mix(wide) * forth, out=sums[1:])
         contexts[CONTEXTS.index(0)] = (sums[:-1] - sums[starts][word]) * back_[starts][word]
-    return Batch(byte, word, mix(contexts + np.arange(1, len(CONTEXTS) + 1, dtype=np.uint64)[:, None] * _NODE))
+    return Batch(byte, word, place, mix(contexts + np.arange(1, len(CONTEXTS) + 1, dtype=np.uint64)[:, None] * _NODE))
 
 
 def chunks(words: list[bytes], counts: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray, int]]:
@@ -98,28 +129,37 @@ def chunks(words: list[bytes], counts: np.ndarray) -> Iterator[tuple[list[bytes]
         yield words[at:], counts[at:], at
 
 
-def bit_slots(batch: Batch, bit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot of every predictor and byte for this bit (0 is the highest), and the bit itself."""
+def bits_of(tables: list[np.ndarray]) -> tuple[int, ...]:
+    return tuple(len(t).bit_length() - 1 for t in tables)
+
+
+def bit_slots(batch: Batch, bit: int, bits: tuple[int, ...], of: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+    """Slot of every predictor (or those given) and byte for this bit (0 is the highest), and the bit itself."""
     wide = batch.byte.astype(np.uint64)
     node = (np.uint64(1) << np.uint64(bit)) | (wide >> np.uint64(8 - bit))  # at bit 0 nothing is known
-    slots = ((batch.contexts ^ (node * _NODE)) * _SPREAD) >> _SHIFT
+    slots = ((batch.contexts[of] ^ (node * _NODE)) * _SPREAD) >> np.array([[64 - b] for b in bits], np.uint64)
     return slots.view(np.int64), ((batch.byte >> (7 - bit)) & 1).astype(np.int64)
 
 
-def count_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Zeros and ones of each slot over a task's words (word, c), as segments of float32."""
+def count_tables(batches: Iterator[pa.RecordBatch], bits: tuple[int, ...] = SLOT_BITS, whole: bool = True) -> Iterator[pa.RecordBatch]:
+    """Zeros and ones of each slot over a task's words (word, c), as segments of float32; without `whole`, those of
+    the whole beginnings are left to the runs of words."""
     tables = None
     for data in batches:
         words, counts = data.column("word").to_pylist(), data.column("c").to_numpy().astype(np.float64)
         for part, c, _ in chunks(words, counts):
             batch = lay_out(part)
-            weight = c[batch.word]
+            weight = c[batch.word].astype(np.float32)
+            far = np.flatnonzero(batch.place > 6)
             if tables is None:
-                tables = [np.zeros(2 << bits, np.float32) for bits in SLOT_BITS]
+                tables = [np.zeros(2 << b, np.float32) for b in bits[: None if whole else -1]]
             for bit in range(8):
-                slots, value = bit_slots(batch, bit)
-                for context, table, slot in zip(CONTEXTS, tables, slots, strict=True):
-                    np.add.at(table, 2 * slot + value, discounted(weight, context).astype(np.float32))
+                slots, value = bit_slots(batch, bit, bits)
+                for context, table, slot in zip(CONTEXTS, tables, slots, strict=False):
+                    if context == 6:  # before that, the six bytes are the whole beginning
+                        np.add.at(table, 2 * slot[far] + value[far], weight[far])
+                    else:
+                        np.add.at(table, 2 * slot + value, weight)
     if tables is not None:
         for predictor, table in enumerate(tables):
             for at in range(0, len(table), SEGMENT):
@@ -139,11 +179,11 @@ def add_segments(table: pa.Table) -> pa.Table:
     return first.append_column("data", pa.array([pairs.astype(np.float16).tobytes()], pa.binary()))
 
 
-def assemble(rows) -> list[np.ndarray]:
-    counts = [np.zeros(2 << bits, np.float16) for bits in SLOT_BITS]
+def assemble(rows, bits: tuple[int, ...] = SLOT_BITS, whole: bool = True) -> list[np.ndarray | None]:
+    counts = [np.zeros(2 << b, np.float16) for b in bits[: None if whole else -1]]
     for predictor, segment, data in rows:
         counts[predictor][segment * SEGMENT : (segment + 1) * SEGMENT] = np.frombuffer(data, np.float16)
-    return [table.reshape(-1, 2) for table in counts]
+    return [table.reshape(-1, 2) for table in counts] + [None] * (not whole)
 
 
 def start_weights() -> np.ndarray:
@@ -160,23 +200,33 @@ def _levels(seen: np.ndarray, context: int) -> np.ndarray:
     return np.minimum(seen, LEVELS - 1) if context == 0 else np.minimum(seen // 5, MINOR_LEVELS - 1)
 
 
-def left_out_inputs(counts: list[np.ndarray], slots: np.ndarray, value: np.ndarray, owns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Logits of the predictors (bytes by predictors) and the gate, with each word's own bit left out once.
+def _same_contexts(values: list[np.ndarray], place: np.ndarray) -> None:
+    """Puts right what the tables leave out: near the start, a whole beginning is a context of four or six bytes."""
+    four, six, whole = (CONTEXTS.index(c) for c in (4, 6, 0))
+    values[whole] = np.where(place < FIRST_BYTES, values[four], values[whole])
+    values[six] = np.where(place <= 6, values[whole], values[six])
 
-    owns: what one occurrence of the word adds to each predictor.
-    """
+
+def left_out_inputs(counts: list[np.ndarray], slots: np.ndarray, value: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of the predictors (bytes by predictors) and the gate, with each word's own bit left out once."""
     logits, gate = np.empty(slots.shape[::-1], np.float32), np.zeros(slots.shape[1], np.uint8)
     one = value.astype(np.float32)
-    for k, slot in enumerate(slots):
-        pair = counts[k].take(slot)
-        mine = owns[k] * one
-        zeros, ones = np.maximum(pair.real - (owns[k] - mine), 0), np.maximum(pair.imag - mine, 0)
+    pairs = [table.take(slot) for table, slot in zip(counts, slots, strict=True)]
+    _same_contexts(pairs, place)
+    for k, pair in enumerate(pairs):
+        zeros, ones = np.maximum(pair.real - (1 - one), 0), np.maximum(pair.imag - one, 0)
         logits[:, k] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
         if CONTEXTS[k] in (4, 0):
             gate += _levels(zeros + ones, CONTEXTS[k]) * np.uint8(MINOR_LEVELS if CONTEXTS[k] == 0 else 1)
     return logits, gate
 
 
+def _logits(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each slot's logit, and how much it has seen."""
+    pair = table.astype(np.float32)
+    return np.log((pair[:, 1] + np.float32(PRIOR)) / (pair[:, 0] + np.float32(PRIOR))), pair.sum(axis=1)
+
+
 class Lookup:
     """A model laid out for scoring: each slot's logit and level."""
 
@@ -184,18 +234,29 @@ class Lookup:
         self.model = model
         self.weights = model.weights.astype(np.float32).T.copy()
         self.logits = []
-        self.levels = {}
-        for k, table in enumerate(model.counts):
-            pair = table.astype(np.float32)
-            self.logits.append(np.log((pair[:, 1] + np.float32(PRIOR)) / (pair[:, 0] + np.float32(PRIOR))))
-            if CONTEXTS[k] in (4, 0):
-                self.levels[k] = _levels(pair.sum(axis=1), CONTEXTS[k]) * np.uint8(MINOR_LEVELS if CONTEXTS[k] == 0 else 1)
-
-    def mixed(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        gate = sum(table.take(slots[k]) for k, table in self.levels.items())
+        for k, table in enumerate(model.counts[:-1]):
+            logits, seen = _logits(table)
+            self.logits.append(logits)
+            if CONTEXTS[k] == 4:
+                self.minor, self.early = _levels(seen, 4), _levels(seen, 0)
+        if model.counts[-1] is not None:
+            self.enter(model.counts[-1])
+
+    def enter(self, whole: np.ndarray) -> None:
+        """Takes a run's own table of whole beginnings."""
+        logits, seen = _logits(whole)
+        self.logits[CONTEXTS.index(0) :] = [logits]
+        self.late = _levels(seen, 0)
+        self.bits = bits_of(self.logits)
+
+    def mixed(self, slots: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        four, whole = slots[CONTEXTS.index(4)], slots[CONTEXTS.index(0)]
+        gate = np.where(place < FIRST_BYTES, self.early.take(four), self.late.take(whole)) * np.uint8(MINOR_LEVELS) + self.minor.take(four)
+        values = [table.take(slot) for table, slot in zip(self.logits, slots, strict=True)]
+        _same_contexts(values, place)
         mixed = np.zeros(slots.shape[1], np.float32)
-        for k, slot in enumerate(slots):
-            mixed += self.logits[k].take(slot) * self.weights[k].take(gate)
+        for value, weights in zip(values, self.weights, strict=True):
+            mixed += value * weights.take(gate)
         return mixed, gate
 
 
@@ -205,7 +266,19 @@ def _bins(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, scaled - low
 
 
-def learn(counts: list[np.ndarray]):
+def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The runs of a task's words, with their counts."""
+    words, counts = [], []
+    for data in batches:
+        words += data.column("word").to_pylist()
+        counts.append(data.column("c").to_numpy().astype(np.float64))
+    if words:
+        counts = np.concatenate(counts)
+        for at in runs(words):
+            yield [words[i] for i in at], counts[at]
+
+
+def learn(counts: list[np.ndarray | None]):
     """A task's pass over its words (word, c): gated weights by online Newton steps, and refinement counts.
 
     Each word is predicted from all the others: its own bits are taken out of the counts. A gate's weights
@@ -215,19 +288,20 @@ def learn(counts: list[np.ndarray]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A pair of counts is read as one number of eight bytes.
-        table = [c.astype(np.float32).reshape(-1).view(np.complex64) for c in counts]
+        paired = lambda c: c.astype(np.float32).reshape(-1).view(np.complex64)
+        table = [paired(c) for c in counts if c is not None]
         weights, seen = start_weights(), np.zeros(LEVELS * MINOR_LEVELS)
         curve = np.repeat(np.eye(len(CONTEXTS))[None] * FIRM, len(seen), axis=0)
         refine = np.zeros(LEVELS * BINS * 2)
-        for data in batches:
-            words, counted = data.column("word").to_pylist(), data.column("c").to_numpy().astype(np.float64)
+
+        def work(words: list[bytes], counted: np.ndarray) -> None:
+            bits = bits_of(table)
             for part, some, _ in chunks(words, counted):
                 batch = lay_out(part)
                 weight = some[batch.word]
-                owns = [(discounted(weight, c) - discounted(weight - 1, c)).astype(np.float32) for c in CONTEXTS]
                 for bit in range(8):
-                    slots, value = bit_slots(batch, bit)
-                    logits, gate = left_out_inputs(table, slots, value, owns)
+                    slots, value = bit_slots(batch, bit, bits)
+                    logits, gate = left_out_inputs(table, slots, value, batch.place)
                     order = np.argsort(gate, kind="stable")
                     gates, first = np.unique(gate[order], return_index=True)
                     x, y, w = logits[order].astype(np.float64), value[order], weight[order]
@@ -240,7 +314,15 @@ def learn(counts: list[np.ndarray]):
                         weights[g] += np.linalg.solve(curve[g], own.T @ (w[a:b] * (y[a:b] - p)))
                         seen[g] += w[a:b].sum()
                     low, _ = _bins(mixed)
-                    refine += np.bincount(((gate[order].astype(np.int64) // MINOR_LEVELS) * BINS + low) * 2 + y, w, len(refine))
+                    refine[:] += np.bincount(((gate[order].astype(np.int64) // MINOR_LEVELS) * BINS + low) * 2 + y, w, len(refine))
+
+        if counts[-1] is not None:
+            for data in batches:
+                work(data.column("word").to_pylist(), data.column("c").to_numpy().astype(np.float64))
+        else:  # words with the same beginning may be in different batches of the task
+            for words, counted in whole_runs(batches):
+                table[CONTEXTS.index(0) :] = [paired(whole_counts(words, counted))]
+                work(words, counted)
         arrays = [pa.array([x.astype(np.float64).tobytes()], pa.binary()) for x in (weights, seen, refine)]
         yield pa.RecordBatch.from_arrays(arrays, names=["weights", "seen", "refine"])
 
@@ -265,6 +347,16 @@ def combine(counts: list[np.ndarray], rows) -> Model:
     return Model(counts, weights, (refine[:, :, 1] + 8 * even) / (sums + 8))
 
 
+def run_scores(lookup: Lookup, words: list[bytes], counts: np.ndarray) -> np.ndarray:
+    """word_scores of all words of a task, with the table of whole beginnings that each run has of its own."""
+    out = np.zeros(len(words))
+    for at in runs(words):
+        run = [words[i] for i in at]
+        lookup.enter(whole_counts(run, counts[at]))
+        out[at] = word_scores(lookup, run)
+    return out
+
+
 def word_scores(lookup: Lookup, words: list[bytes]) -> np.ndarray:
     """log10 probability of each word with its terminator, or of the end mark."""
     out = np.zeros(len(words))
@@ -273,8 +365,8 @@ def word_scores(lookup: Lookup, words: list[bytes]) -> np.ndarray:
         batch = lay_out(part)
         total = np.zeros(len(batch.byte))
         for bit in range(8):
-            slots, value = bit_slots(batch, bit)
-            mixed, gate = lookup.mixed(slots)
+            slots, value = bit_slots(batch, bit, lookup.bits)
+            mixed, gate = lookup.mixed(slots, batch.place)
             # A bin's rate stands for its middle: interpolate with the neighbour on the value's side.
             low, share = _bins(mixed)
             level = gate // MINOR_LEVELS

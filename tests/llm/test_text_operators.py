@@ -179,6 +179,26 @@ def test_word_probabilities_sum_to_at_most_one():
     assert all(abs(scores[w] - math.log10(c / sum(seen.values()))) < 0.35 for w, c in common)
 
 
+def test_tables_grow_with_the_words():
+    rng = random.Random(9)
+    seen = sorted({prose(rng, "de", 1).encode() + str(rng.randint(0, 10**6)).encode() for _ in range(60_000)})
+    assert cm.table_bits(10 * len(seen))[4] > cm.table_bits(len(seen) // 10)[4]
+    parts = [[seen[i] for i in at] for at in cm.runs(seen)]
+    firsts = [{w[:4] for w in p} for p in parts]
+    assert sorted(sum(parts, [])) == seen and len(parts) > 1 and sum(map(len, firsts)) == len(set().union(*firsts))
+    for words_ in (parts[0], parts[0][:500]):
+        table = cm.whole_counts(words_, np.ones(len(words_)))
+        batch = cm.lay_out(words_)
+        behind = collections.Counter()  # words with the same beginning, by (beginning, byte)
+        for w in words_:
+            for i in range(len(w) + 1):
+                behind[w[:i], (w + b" ")[i]] += 1
+        starts = np.flatnonzero(batch.place == 0)
+        slots, value = cm.bit_slots(batch, 7, cm.bits_of([table]), slice(5, None))
+        exact = [table[slots[0][at + i], value[at + i]] == behind[w[:i], (w + b" ")[i]] for at, w in zip(starts, words_, strict=True) for i in range(4, len(w) + 1)]
+        assert np.mean(exact) > 0.8  # words seen once are counted, and few share slots however many there are
+
+
 def brute_components(rows, percent):
     sets = {i: shingles(t) for i, t in rows}
     label = {i: i for i in sets}
