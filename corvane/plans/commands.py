@@ -275,12 +275,15 @@ def _write_clips(out: str, rate: int | None) -> Callable[[Iterator[pd.DataFrame]
             for row in pdf.to_dict("records"):
                 if audio.file_hash(row["audio"]) != row["source_sha256"]:
                     raise ValueError(f"{row['audio']} changed since selection")
-                target = rate or int(row["source_sample_rate"])
-                clip = audio._resample(audio.decode(row["audio"], row["start"], row["end"]), dsp.RATE, target)
+                if audio.info(row["audio"])["sample_rate"] != row["source_sample_rate"]:
+                    raise ValueError(f"{row['audio']} has another rate than when it was scored")
+                clip, target, width = audio.cut(row["audio"], row["start"], row["end"], rate)
                 path = f"{out}/{row['path']}"
                 os.makedirs(os.path.dirname(path), exist_ok=True)
-                audio.write_wav(path, clip, target)
-                frames, channels = audio.verify(path, len(clip), target)
+                audio.write_wav(path, clip, target, width)
+                frames, channels = audio.verify(path, round((row["end"] - row["start"]) * target), target)
+                if channels != clip.shape[1]:
+                    raise ValueError(f"{path} has {channels} channels, its source {clip.shape[1]}")
                 done.append((row["id"], row["path"], target, frames, channels))
             yield pd.DataFrame(done, columns=["id", "path", "sample_rate", "frames", "channels"])
 

@@ -56,15 +56,42 @@ def info(path: str) -> dict:
     return found
 
 
-def _wav(path: str) -> tuple[np.ndarray, int]:
+def _frames(path: str, start: float = 0.0, end: float | None = None) -> tuple[np.ndarray, int, int]:
+    """A WAV file's span as frames by channels, its rate and bytes a sample."""
     with wave.open(path) as file:
         width, channels, rate = file.getsampwidth(), file.getnchannels(), file.getframerate()
-        raw = file.readframes(file.getnframes())
+        first, last = round(start * rate), file.getnframes() if end is None else round(end * rate)
+        file.setpos(min(first, file.getnframes()))
+        raw = file.readframes(max(last - first, 0))
     kinds = {1: (np.uint8, 128.0, 128.0), 2: (np.int16, 0.0, 32768.0), 4: (np.int32, 0.0, 2147483648.0)}
     if width not in kinds:
         raise ValueError(f"{path}: {8 * width}-bit samples aren't supported")
     kind, zero, full = kinds[width]
-    return ((np.frombuffer(raw, kind).astype(np.float32) - zero) / full).reshape(-1, channels).mean(axis=1), rate
+    return ((np.frombuffer(raw, kind).astype(np.float64) - zero) / full).reshape(-1, channels), rate, width
+
+
+def _wav(path: str) -> tuple[np.ndarray, int]:
+    audio, rate, _ = _frames(path)
+    return audio.astype(np.float32).mean(axis=1), rate
+
+
+def cut(path: str, start: float, end: float, rate: int | None = None) -> tuple[np.ndarray, int, int]:
+    """A span with all its channels (frames by channels), its rate and bytes a sample; resampled only to another `rate`."""
+    if path.lower().endswith(".wav"):
+        audio, own, width = _frames(path, start, end)
+    else:
+        if not shutil.which("ffmpeg"):
+            raise RuntimeError("ffmpeg is needed for this file")
+        told = info(path)
+        own, width = told["sample_rate"], 4
+        command = ["ffmpeg", "-nostdin", "-v", "error", "-ss", str(start), "-i", path, "-t", str(end - start), "-map", "0:a:0", "-vn", "-f", "s32le", "-"]
+        raw = subprocess.run(command, check=True, capture_output=True).stdout
+        audio = (np.frombuffer(raw, "<i4") / 2147483648.0).reshape(-1, told["channels"])
+    if not len(audio) or abs(len(audio) / own - (end - start)) > 0.1:
+        raise ValueError(f"{path}: {start} to {end} can't be cut")
+    if rate is not None and rate != own:
+        audio = np.stack([_resample(channel, own, rate) for channel in audio.T], axis=1)
+    return audio, rate or own, max(width, 2)
 
 
 def _resample(audio: np.ndarray, rate: int, to: int = RATE) -> np.ndarray:
@@ -100,21 +127,22 @@ def stream(path: str, start: float = 0.0, end: float | None = None, block: int =
         yield decode(path, start + k * block / RATE, min(last, start + (k + 1) * block / RATE))
 
 
-def write_wav(path: str, audio: np.ndarray, rate: int) -> None:
-    """16-bit samples under a temporary name, then renamed."""
+def write_wav(path: str, audio: np.ndarray, rate: int, width: int = 2) -> None:
+    """Mono samples, or frames by channels, of `width` bytes under a temporary name, then renamed."""
+    full = 1 << (8 * width - 1)
     part = f"{path}.partial"
     with wave.open(part, "wb") as file:
-        file.setnchannels(1)
-        file.setsampwidth(2)
+        file.setnchannels(1 if audio.ndim == 1 else audio.shape[1])
+        file.setsampwidth(width)
         file.setframerate(rate)
-        file.writeframes((np.clip(audio, -1, 1) * 32767).round().astype("<i2").tobytes())
+        file.writeframes(np.clip((np.asarray(audio, np.float64) * full).round(), -full, full - 1).astype(f"<i{width}").tobytes())
     os.replace(part, path)
 
 
 def verify(path: str, expected: int, rate: int) -> tuple[int, int]:
-    """(frames, channels) of a written clip; an error if the rate differs or the frames do by more than one."""
+    """(frames, channels) of a written clip, read whole; an error if the rate differs or the frames do by more than one."""
     found = info(path)
-    frames = round(found["duration"] * found["sample_rate"])
+    frames = len(_frames(path)[0])
     if found["sample_rate"] != rate or abs(frames - expected) > 1:
         raise ValueError(f"{path}: {frames} frames at {found['sample_rate']} Hz, expected {expected} at {rate}")
     return frames, found["channels"]

@@ -1,8 +1,10 @@
 """The commands end to end on generated tones, with stub models."""
 
 import json
+import wave
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from corvane.functions import dsp
@@ -86,6 +88,23 @@ def test_score_select_export(spark, corpus):
         commands.calibrate(spark, out, str(folder / "review2"), 2, "0", str(labels), rules, "asr")
 
 
+def test_clips_keep_rate_and_channels(tmp_path):
+    t = np.arange(48_000) / 48_000
+    sound = np.stack([0.25 * np.sin(2 * np.pi * 12_000 * t), 0.1 * np.sin(2 * np.pi * 440 * t)], axis=1)
+    path = str(tmp_path / "wide.wav")
+    with wave.open(path, "wb") as file:
+        file.setparams((2, 2, 48_000, 0, "NONE", ""))
+        file.writeframes((sound * 32768).round().astype("<i2").tobytes())
+    row = {"id": "w", "audio": path, "source_sha256": audio.file_hash(path), "source_sample_rate": 48_000, "start": 0.25, "end": 0.75}
+    for rate in (None, 24_000):
+        (done,) = commands._write_clips(str(tmp_path), rate)(iter([pd.DataFrame([row | {"path": f"train/{rate}.wav"}])]))
+        assert done[["sample_rate", "frames", "channels"]].values.tolist() == [[rate or 48_000, (rate or 48_000) // 2, 2]]
+        with wave.open(str(tmp_path / f"train/{rate}.wav")) as file:
+            assert file.getparams()[:4] == (2, 2, rate or 48_000, (rate or 48_000) // 2)
+            raw = np.frombuffer(file.readframes(48_000), "<i2").reshape(-1, 2)
+        assert rate or np.array_equal(raw, (sound[12_000:36_000] * 32768).round())
+
+
 def test_prepare(spark, tmp_path):
     clip = np.concatenate([np.zeros(16_000), np.full(16_000, 0.5), np.zeros(16_000)])
     audio.write_wav(str(tmp_path / "e.wav"), clip, 16_000)
