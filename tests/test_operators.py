@@ -199,3 +199,43 @@ def test_speakers(spark):
     found = {r["id"]: r for r in speakers.compare(speakers.embed_references(table, lambda r: [2.0, 0.0])).collect()}
     assert (found["a"]["speaker_similarity"], found["b"]["speaker_similarity"], found["c"]["speaker_similarity"]) == (1.0, 0.0, None)
     assert found["a"]["speaker_consistency"] == 0.5 and found["b"]["speaker_status"] == "review" and not found["c"]["speaker_reference_available"]
+
+
+def test_signal_queries_read_whole_clips(spark, tmp_path):
+    from corvane.functions import dsp
+    from corvane.plans.queries import QUERIES
+
+    rng = np.random.default_rng(4)
+    values = {1: rng.uniform(0, 100, 120), 2: rng.uniform(0, 100, 3)}
+    rows = [(u, i, u * 1000 + i, float(v)) for u, vs in values.items() for i, v in enumerate(vs)]
+    spark.createDataFrame(rows, "user_id long, ts long, event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    features = {r["user_id"]: r for r in QUERIES["fbank"](spark, str(tmp_path)).collect()}
+    paths = {r["user_id"]: r for r in QUERIES["ctc_viterbi"](spark, str(tmp_path)).collect()}
+    filters, window = dsp.mel_filters(), 0.54 - 0.46 * np.cos(2 * np.pi * np.arange(dsp.FRAME) / dsp.FRAME)
+    for u, vs in values.items():
+        clip = np.tile(vs / 200 - 0.1, 200)
+        padded = np.concatenate([np.zeros(dsp.FRAME // 2), clip, np.zeros(dsp.FRAME // 2)])
+        starts = range(0, len(padded) - dsp.FRAME + 1, dsp.HOP)
+        power = [np.abs(np.fft.rfft(padded[a : a + dsp.FRAME] * window, dsp.FFT)) ** 2 @ filters for a in starts]
+        mel = 10 * np.log10(np.maximum(power, 1e-10))
+        mel = np.maximum(mel, mel.max() - 80)
+        assert features[u]["n"] == len(starts) and np.isclose(features[u]["value"], np.abs(mel - mel.mean(axis=0)).mean())
+        # The best path by a plain recursion over blanks and tokens.
+        x = dsp.log_softmax(clip.reshape(-1, 5) * 50)  # the same rounding, as repeated clips have equal paths
+        labels = [0, 1, 0, 2, 0, 2, 0, 3, 0]
+        best, back = {0: x[0, 0], 1: x[0, 1]}, []
+        for row in x[1:]:
+            came = {}
+            for s, k in enumerate(labels):
+                ways = [s, s - 1] + [s - 2] * (s % 2 and s > 2 and k != labels[s - 2])
+                known = [w for w in ways if w in best]
+                if known:
+                    came[s] = max(known, key=best.get)
+            back.append(came)
+            best = {s: best[w] + row[labels[s]] for s, w in came.items()}
+        at = max((8, 7), key=best.get)
+        tokens = at % 2
+        for came in reversed(back):
+            at = came[at]
+            tokens += at % 2
+        assert (paths[u]["n"], paths[u]["value"]) == (len(x), tokens)
