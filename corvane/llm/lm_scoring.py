@@ -17,8 +17,8 @@ from corvane.session import cut
 
 #: Documents and bytes of text whose distinct words meet in one task, about, and distinct words that one task learns from.
 BLOCK_DOCUMENTS, BLOCK_TEXT, TASK_WORDS = 8192, 48_000_000, 1_000_000
-#: Distinct words that one task scores, about; they come with their counts and blocks.
-SCORE_WORDS = 250_000
+#: Bytes of text for a bucket of words; words with the same first bytes are in one bucket.
+BUCKET_TEXT = 1_000_000
 SMOOTHING = 0.1
 #: Classes of documents with word frequencies of their own: the most frequent values of the class column, and one for the rest.
 MOST_CLASSES = 7
@@ -78,19 +78,26 @@ _ready: dict[str, cm.Lookup] = {}
 
 
 def _score_words(shared, shares: np.ndarray):
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, model = shared.value
         if key not in _ready:
             _ready.clear()
             _ready[key] = cm.Lookup(cm.Model(*model))
-        scores = cm.run_scores(_ready[key], table.column("word").to_pylist(), table.column("c").to_numpy().astype(np.float64))
-        n = np.stack([table.column(f"n{k}").to_numpy() for k in range(len(shares))], axis=1)
-        # How much likelier the word is in each class than in all: share of the word's counts over the class's share.
-        ratio = (n + EVEN * shares) / (n.sum(axis=1, keepdims=True) + EVEN) / shares
-        steps = np.clip(np.round(np.log10(ratio) / RATIO_STEP), -127, 127).astype(np.int8)
-        ratios = pa.array([row.tobytes() for row in steps], pa.binary())
-        arrays = [table.column("h"), table.column("c"), pa.array(scores), ratios, table.column("blocks").cast(pa.list_(pa.int32()))]
-        return pa.table(arrays, names=["h", "c", "logp", "ratios", "blocks"])
+        # A partition holds whole buckets; each is scored by itself, so that partitions don't change scores.
+        held = list(batches)
+        table = pa.Table.from_batches(held).sort_by("bucket") if held else None
+        buckets = table.column("bucket").to_numpy() if held else np.zeros(0, np.int32)
+        first = np.flatnonzero(np.diff(buckets, prepend=-1))
+        for at, end in zip(first.tolist(), [*first[1:].tolist(), len(buckets)], strict=False):
+            batch = table.slice(at, end - at)
+            scores = cm.run_scores(_ready[key], batch.column("word").to_pylist(), batch.column("c").to_numpy().astype(np.float64))
+            n = np.stack([batch.column(f"n{k}").to_numpy() for k in range(len(shares))], axis=1)
+            # How much likelier the word is in each class than in all: share of the word's counts over the class's share.
+            ratio = (n + EVEN * shares) / (n.sum(axis=1, keepdims=True) + EVEN) / shares
+            steps = np.clip(np.round(np.log10(ratio) / RATIO_STEP), -127, 127).astype(np.int8)
+            ratios = pa.array([row.tobytes() for row in steps], pa.binary())
+            arrays = [batch.column("h"), batch.column("c"), pa.array(scores), ratios, batch.column("blocks").cast(pa.list_(pa.int32()))]
+            yield from pa.table(arrays, names=["h", "c", "logp", "ratios", "blocks"]).to_batches()
 
     return run
 
@@ -138,25 +145,18 @@ def _over_batches(run, schema: str):
     return lambda table: pa.Table.from_batches(list(run(iter(table.select(["word", "c"]).to_batches()))), fields)
 
 
-def _dealt(words: DataFrame, each: int) -> DataFrame:
-    """Words with the same first bytes in the same task, about `each` in a task.
-
-    Groups, not partitions: how many tables come up depends on the words alone.
-    """
-    first = F.xxhash64(F.substring("word", 1, cm.FIRST_BYTES))
-    return words.withColumn("task", F.pmod(first, F.lit(parts(words.count(), each))))
-
-
 def train(vocabulary: DataFrame, task_words: int = TASK_WORDS) -> cm.Model:
-    """A context-mixing model of the words (word, c); c is how often training text holds the word.
+    """A context-mixing model of the words (bucket, word, c); c is how often training text holds the word.
 
     Both passes run over tasks of about `task_words` distinct words. The tables of short contexts have fixed
     sizes, that of six bytes grows up to a bound; all whole beginnings of a word lie in its own task.
     """
     spark = vocabulary.sparkSession
-    known = vocabulary.where("c > 0").select("h", "word", "c")
+    known = vocabulary.where("c > 0").select("bucket", "word", "c")
     bits = cm.table_bits(known.count())
-    dealt = _dealt(known, task_words).select("task", "word", "c").groupBy("task")
+    # Groups, not partitions: how many tables come up depends on the words alone. Whole buckets are in a task.
+    task = F.pmod(F.col("bucket"), F.lit(parts(known.count(), task_words)))
+    dealt = known.select(task.alias("task"), "word", "c").groupBy("task")
     schema = "predictor int, segment int, data binary"
     segments = dealt.applyInArrow(_over_batches(lambda it: cm.count_tables(it, bits, whole=False), schema), schema)
     summed = segments.groupBy("predictor", "segment").applyInArrow(cm.add_segments, schema)
@@ -204,15 +204,16 @@ def score(
     schema = "block int, h long, word binary, " + ", ".join(f"{n} long" for n in names)
     found = docs.select("block", "class", "text").groupBy("block").applyInArrow(_count(len(names)), schema)
     sums = [F.sum(n).alias(n) for n in names]
-    words = found.groupBy("h").agg(F.min("word").alias("word"), F.collect_list("block").alias("blocks"), *sums)
+    bucket = F.pmod(F.xxhash64(F.substring("word", 1, cm.FIRST_BYTES)), F.lit(parts(size["b"], BUCKET_TEXT))).cast("int")
+    found = found.withColumn("bucket", bucket).repartition("bucket")
+    words = found.groupBy("bucket", "h").agg(F.min("word").alias("word"), F.collect_list("block").alias("blocks"), *sums)
     words = cut(words.withColumn("c", sum((F.col(n) for n in names[1:]), F.col(names[0]))))
     totals = words.agg(F.count_if(F.col("c") > 0), *[F.coalesce(F.sum(n), F.lit(0)) for n in names]).first()
     n, v = sum(totals[1:]), totals[0]
     shares = (np.array(totals[1:], np.float64) + 0.01) / (n + 0.01 * len(names))
     model = train(words, task_words)
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, tuple(model)))
-    dealt = _dealt(words.select("h", "word", "c", "blocks", *names), min(SCORE_WORDS, task_words))
-    scored = dealt.groupBy("task").applyInArrow(_score_words(shared, shares), "h long, c long, logp double, ratios binary, blocks array<int>")
+    scored = words.select("bucket", "h", "word", "c", "blocks", *names).mapInArrow(_score_words(shared, shares), "h long, c long, logp double, ratios binary, blocks array<int>")
     slices = scored.select(F.explode("blocks").alias("block"), "h", "c", "logp", "ratios")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
     rows = docs.select("block", "doc_id", "held_out", "text")
