@@ -186,6 +186,15 @@ def assemble(rows, bits: tuple[int, ...] = SLOT_BITS, whole: bool = True) -> lis
     return [table.reshape(-1, 2) for table in counts] + [None] * (not whole)
 
 
+def packed(counts: list[np.ndarray | None]) -> list[tuple[int, bytes] | None]:
+    """Tables compressed, as each executor keeps its copy of them on disk."""
+    return [None if t is None else (t.nbytes, pa.compress(t.tobytes(), codec="zstd", asbytes=True)) for t in counts]
+
+
+def unpacked(tables: list[tuple[int, bytes] | None]) -> list[np.ndarray | None]:
+    return [None if t is None else np.frombuffer(pa.decompress(t[1], t[0], codec="zstd"), np.float16).reshape(-1, 2) for t in tables]
+
+
 def start_weights() -> np.ndarray:
     """The surer the whole-beginning predictor, the more it alone decides."""
     share = np.minimum(np.arange(LEVELS) / 6, 0.9)

@@ -82,7 +82,7 @@ def _score_words(shared, shares: np.ndarray):
         key, model = shared.value
         if key not in _ready:
             _ready.clear()
-            _ready[key] = cm.Lookup(cm.Model(*model))
+            _ready[key] = cm.Lookup(cm.Model(cm.unpacked(model[0]), *model[1:]))
         # A partition holds whole buckets; each is scored by itself, so that partitions don't change scores.
         held = list(batches)
         table = pa.Table.from_batches(held).sort_by("bucket") if held else None
@@ -161,9 +161,9 @@ def train(vocabulary: DataFrame, task_words: int = TASK_WORDS) -> cm.Model:
     segments = dealt.applyInArrow(_over_batches(lambda it: cm.count_tables(it, bits, whole=False), schema), schema)
     summed = segments.groupBy("predictor", "segment").applyInArrow(cm.add_segments, schema)
     counts = cm.assemble(summed.toLocalIterator(), bits, whole=False)
-    shared = spark.sparkContext.broadcast(counts)
+    shared = spark.sparkContext.broadcast(cm.packed(counts))
     schema = "weights binary, seen binary, refine binary"
-    learned = dealt.applyInArrow(_over_batches(lambda it: cm.learn(shared.value)(it), schema), schema).collect()
+    learned = dealt.applyInArrow(_over_batches(lambda it: cm.learn(cm.unpacked(shared.value))(it), schema), schema).collect()
     shared.unpersist()
     return cm.combine(counts, learned)
 
@@ -212,7 +212,7 @@ def score(
     n, v = sum(totals[1:]), totals[0]
     shares = (np.array(totals[1:], np.float64) + 0.01) / (n + 0.01 * len(names))
     model = train(words, task_words)
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, tuple(model)))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, (cm.packed(model.counts), *model[1:])))
     scored = words.select("bucket", "h", "word", "c", "blocks", *names).mapInArrow(_score_words(shared, shares), "h long, c long, logp double, ratios binary, blocks array<int>")
     slices = scored.select(F.explode("blocks").alias("block"), "h", "c", "logp", "ratios")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
