@@ -22,6 +22,16 @@ def parts(rows: int, each: int) -> int:
     return max(1, -(-rows // each))
 
 
+#: Bytes of text for each core below which texts are dealt out anew before Python works on them.
+SMALL_TEXT = 16_000_000
+
+
+def spread(texts: DataFrame, size: int) -> DataFrame:
+    """Texts of `size` bytes together, dealt to all cores if they are so few that the input's files may hold them in fewer parts."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(cores) if size < cores * SMALL_TEXT else texts
+
+
 def require(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, in order; all else that the input carries is left aside. Batches for Python get small."""
     missing = [n for n in names if n not in df.columns]

@@ -1,389 +1,276 @@
-"""Logistic context mixing over the bits of words: hashed-context predictors, gated weights, adaptive refinement.
+"""Online logistic context mixing over binary decisions: hashed-context predictors, gated weights, adaptive refinement.
 
-The text is coded as its tokens: each word's bytes and a space, then one end mark. Contexts reach back to the
-start of the word, so a word has one probability wherever it stands, and the corpus's counts of distinct
-words are all that the model learns from and all that it has to score.
+A stream of decisions is given with the slots of its contexts. Every predictor turns what its slot has seen into a
+logit; a set of weights, chosen by how sure the predictors are, adds them up; a curve that is learned beside
+it refines the sum. Learning is one pass: each run of decisions is predicted first, then it moves
+weights, curve and counts. All logits are turned towards the decision that was taken, so p(0) + p(1) = 1 holds by symmetry.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-from corvane.llm.wordhash import mix
-
-#: Bytes of context of each predictor; 0 stands for the whole beginning of the word.
-CONTEXTS = (1, 2, 3, 4, 6, 0)
-#: Slots of each predictor's table, as powers of two; a slot counts zeros and ones. These are the least sizes:
-#: the table of six bytes grows with the distinct words up to MOST_BITS, as each worker holds it; that of the whole
-#: beginning is split by the words' first bytes and grows without a bound.
-SLOT_BITS = (16, 18, 20, 21, 22, 22)
-MOST_BITS = 24
-#: Words with the same first bytes meet in one run; a run holds about so many words, and its own table.
-FIRST_BYTES, RUN_WORDS = 4, 50_000
-#: Floats of a table that travel as one row.
-SEGMENT = 1 << 16
-END_WORD = b"\n"
-#: Bytes of words that are worked on at once.
-CHUNK_BYTES = 1 << 16
-#: Confidence levels of the whole-beginning predictor and of the one of four bytes: together they choose the weights.
-LEVELS, MINOR_LEVELS = 14, 3
-#: Steps of the refinement's scale, its reach in logits, and its share of the result.
-BINS, REACH, REFINED = 33, 8.0, 0.5
+#: Nodes of the refinement's scale, its reach in logits, its share of the result, and how often an even start counts.
+BINS, REACH, REFINED, EVEN_REFINED = 33, 8.0, 0.5, 8.0
 #: Curvature that the start weights count for.
 FIRM = 30.0
+#: What a count of zero counts for.
 PRIOR = 0.4
+#: Probabilities of a decision stay this far from 0 and 1.
+LEAST = 1e-6
+#: Slots of a table that travel as one row.
+SEGMENT = 1 << 16
+#: Parts of one segment that a task adds up.
+FAN_IN = 64
 
 _NODE, _SPREAD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_UNSTEP = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-class Model(NamedTuple):
-    counts: list  # for each predictor slots by (zeros, ones), float16; None for the whole beginning: each run of words has its own
-    weights: np.ndarray  # gates by predictors
-    refine: np.ndarray  # levels by BINS, probability of a one
-
-
-class Batch(NamedTuple):
-    byte: np.ndarray  # all words' bytes, each word with its terminator
-    word: np.ndarray  # index of the word of each byte
-    place: np.ndarray  # bytes before it in its word
-    contexts: np.ndarray  # predictors by bytes
-
-
-def table_bits(words: int) -> tuple[int, ...]:
-    """Table sizes for so many distinct training words: a slot for each of the about 8 bits that a word adds to
-    the six-byte contexts behind its sixth byte."""
-    grown = min(MOST_BITS, (8 * words).bit_length())
-    return tuple(max(b, grown) if c == 6 else b for b, c in zip(SLOT_BITS, CONTEXTS, strict=True))
-
-
-def runs(words: list[bytes]) -> Iterator[np.ndarray]:
-    """Indices of about RUN_WORDS words each, in a fixed mixed order; words with the same first bytes are in one run."""
-    order = sorted(range(len(words)), key=words.__getitem__)
-    at, rng = 0, np.random.default_rng(0)
-    while at < len(order):
-        end = min(at + RUN_WORDS, len(order))
-        while end < len(order) and words[order[end]][:FIRST_BYTES] == words[order[end - 1]][:FIRST_BYTES]:
-            end += 1
-        yield rng.permutation(np.array(order[at:end]))
-        at = end
-
-
-def whole_counts(words: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """Zeros and ones of the whole beginnings of one run's words, in a table of at least two slots for each bit."""
-    size = sum(len(w) + 1 - min(len(w), FIRST_BYTES) for w, c in zip(words, counts, strict=True) if c > 0)
-    bits = max(10, (16 * size).bit_length())
-    table = np.zeros(2 << bits, np.float32)
-    for part, c, _ in chunks(words, counts):
-        batch = lay_out(part)
-        weight = c[batch.word].astype(np.float32)
-        for bit in range(8):
-            slots, value = bit_slots(batch, bit, (bits,), slice(CONTEXTS.index(0), None))
-            np.add.at(table, 2 * slots[0] + value, weight)
-    return table.reshape(-1, 2)
-
-
-def lay_out(words: list[bytes]) -> Batch:
-    flat = b"".join(w if w == END_WORD else w + b" " for w in words)
-    byte = np.frombuffer(flat, np.uint8)
-    sizes = np.fromiter((len(w) + (w != END_WORD) for w in words), np.int64, len(words))
-    starts = np.cumsum(sizes) - sizes
-    word = np.repeat(np.arange(len(words)), sizes)
-    place = np.arange(len(byte)) - starts[word]
-    wide = byte.astype(np.uint64) + np.uint64(1)
-    contexts = np.zeros((len(CONTEXTS), len(byte)), np.uint64)
-    sum_ = np.zeros(len(byte), np.uint64)
-    for back in range(1, max(CONTEXTS) + 1):
-        before = np.zeros(len(byte), np.uint64)
-        before[back:] = wide[:-back]
-        before[place < back] = 0
-        sum_ = sum_ * _SPREAD + before
-        if back in CONTEXTS:
-            contexts[CONTEXTS.index(back)] = sum_
-    if len(byte):
-        steps = np.full(len(byte), _STEP)
-        steps[0] = 1
-        forth = np.multiply.accumulate(steps)
-        steps[1:] = _UNSTEP
-        back_ = np.multiply.accumulate(steps)
-        sums = np.zeros(len(byte) + 1, np.uint64)
-        np.cumsum(mix(wide) * forth, out=sums[1:])
-        contexts[CONTEXTS.index(0)] = (sums[:-1] - sums[starts][word]) * back_[starts][word]
-    return Batch(byte, word, place, mix(contexts + np.arange(1, len(CONTEXTS) + 1, dtype=np.uint64)[:, None] * _NODE))
-
-
-def chunks(words: list[bytes], counts: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray, int]]:
-    """Runs of words of about CHUNK_BYTES, their counts and the first one's index."""
-    at = size = 0
-    for i, w in enumerate(words):
-        size += len(w) + 1
-        if size >= CHUNK_BYTES:
-            yield words[at : i + 1], counts[at : i + 1], at
-            at, size = i + 1, 0
-    if at < len(words):
-        yield words[at:], counts[at:], at
-
-
-def bits_of(tables: list[np.ndarray]) -> tuple[int, ...]:
-    return tuple(len(t).bit_length() - 1 for t in tables)
-
-
-def bit_slots(batch: Batch, bit: int, bits: tuple[int, ...], of: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
-    """Slot of every predictor (or those given) and byte for this bit (0 is the highest), and the bit itself."""
-    wide = batch.byte.astype(np.uint64)
-    node = (np.uint64(1) << np.uint64(bit)) | (wide >> np.uint64(8 - bit))  # at bit 0 nothing is known
-    slots = ((batch.contexts[of] ^ (node * _NODE)) * _SPREAD) >> np.array([[64 - b] for b in bits], np.uint64)
-    return slots.view(np.int64), ((batch.byte >> (7 - bit)) & 1).astype(np.int64)
-
-
-def count_tables(batches: Iterator[pa.RecordBatch], bits: tuple[int, ...] = SLOT_BITS, whole: bool = True) -> Iterator[pa.RecordBatch]:
-    """Zeros and ones of each slot over a task's words (word, c), as segments of float32; without `whole`, those of
-    the whole beginnings are left to the runs of words."""
-    tables = None
-    for data in batches:
-        words, counts = data.column("word").to_pylist(), data.column("c").to_numpy().astype(np.float64)
-        for part, c, _ in chunks(words, counts):
-            batch = lay_out(part)
-            weight = c[batch.word].astype(np.float32)
-            far = np.flatnonzero(batch.place > 6)
-            if tables is None:
-                tables = [np.zeros(2 << b, np.float32) for b in bits[: None if whole else -1]]
-            for bit in range(8):
-                slots, value = bit_slots(batch, bit, bits)
-                for context, table, slot in zip(CONTEXTS, tables, slots, strict=False):
-                    if context == 6:  # before that, the six bytes are the whole beginning
-                        np.add.at(table, 2 * slot[far] + value[far], weight[far])
-                    else:
-                        np.add.at(table, 2 * slot + value, weight)
-    if tables is not None:
-        for predictor, table in enumerate(tables):
-            for at in range(0, len(table), SEGMENT):
-                if (segment := table[at : at + SEGMENT]).any():
-                    row = ([predictor], [at // SEGMENT], [segment.tobytes()])
-                    yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), pa.array(row[1], pa.int32()), pa.array(row[2], pa.binary())], names=["predictor", "segment", "data"])
-
-
-def add_segments(table: pa.Table) -> pa.Table:
-    """One segment's sums; pairs too large for half precision are scaled down together."""
-    total = np.zeros(SEGMENT, np.float64)
-    for data in table.column("data"):
-        total += np.frombuffer(data.as_py(), np.float32)
-    pairs = total.reshape(-1, 2)
-    pairs /= np.maximum(1.0, pairs.max(axis=1, keepdims=True) / 60000.0)
-    first = table.slice(0, 1).select(["predictor", "segment"])
-    return first.append_column("data", pa.array([pairs.astype(np.float16).tobytes()], pa.binary()))
-
-
-def assemble(rows, bits: tuple[int, ...] = SLOT_BITS, whole: bool = True) -> list[np.ndarray | None]:
-    counts = [np.zeros(2 << b, np.float16) for b in bits[: None if whole else -1]]
-    for predictor, segment, data in rows:
-        counts[predictor][segment * SEGMENT : (segment + 1) * SEGMENT] = np.frombuffer(data, np.float16)
-    return [table.reshape(-1, 2) for table in counts] + [None] * (not whole)
-
-
-def packed(counts: list[np.ndarray | None]) -> list[tuple[int, bytes] | None]:
-    """Tables compressed, as each executor keeps its copy of them on disk."""
-    return [None if t is None else (t.nbytes, pa.compress(t.tobytes(), codec="zstd", asbytes=True)) for t in counts]
-
-
-def unpacked(tables: list[tuple[int, bytes] | None]) -> list[np.ndarray | None]:
-    return [None if t is None else np.frombuffer(pa.decompress(t[1], t[0], codec="zstd"), np.float16).reshape(-1, 2) for t in tables]
-
-
-def start_weights() -> np.ndarray:
-    """The surer the whole-beginning predictor, the more it alone decides."""
-    share = np.minimum(np.arange(LEVELS) / 6, 0.9)
-    weights = np.empty((LEVELS, MINOR_LEVELS, len(CONTEXTS)))
-    weights[:] = ((1 - share) * 0.25)[:, None, None]
-    weights[:, :, CONTEXTS.index(0)] = np.maximum(share, 0.1)[:, None]
-    return weights.reshape(-1, len(CONTEXTS))
-
-
-def _levels(seen: np.ndarray, context: int) -> np.ndarray:
-    seen = np.log2(seen + np.float32(1)).astype(np.uint8)
-    return np.minimum(seen, LEVELS - 1) if context == 0 else np.minimum(seen // 5, MINOR_LEVELS - 1)
-
-
-def _same_contexts(values: list[np.ndarray], place: np.ndarray) -> None:
-    """Puts right what the tables leave out: near the start, a whole beginning is a context of four or six bytes."""
-    four, six, whole = (CONTEXTS.index(c) for c in (4, 6, 0))
-    values[whole] = np.where(place < FIRST_BYTES, values[four], values[whole])
-    values[six] = np.where(place <= 6, values[whole], values[six])
-
-
-def left_out_inputs(counts: list[np.ndarray], slots: np.ndarray, value: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logits of the predictors (bytes by predictors) and the gate, with each word's own bit left out once."""
-    logits, gate = np.empty(slots.shape[::-1], np.float32), np.zeros(slots.shape[1], np.uint8)
-    one = value.astype(np.float32)
-    pairs = [table.take(slot) for table, slot in zip(counts, slots, strict=True)]
-    _same_contexts(pairs, place)
-    for k, pair in enumerate(pairs):
-        zeros, ones = np.maximum(pair.real - (1 - one), 0), np.maximum(pair.imag - one, 0)
-        logits[:, k] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
-        if CONTEXTS[k] in (4, 0):
-            gate += _levels(zeros + ones, CONTEXTS[k]) * np.uint8(MINOR_LEVELS if CONTEXTS[k] == 0 else 1)
-    return logits, gate
-
-
-def _logits(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each slot's logit, and how much it has seen."""
-    pair = table.astype(np.float32)
-    return np.log((pair[:, 1] + np.float32(PRIOR)) / (pair[:, 0] + np.float32(PRIOR))), pair.sum(axis=1)
-
-
-class Lookup:
-    """A model laid out for scoring: each slot's logit and level."""
-
-    def __init__(self, model: Model) -> None:
-        self.model = model
-        self.weights = model.weights.astype(np.float32).T.copy()
-        self.logits = []
-        for k, table in enumerate(model.counts[:-1]):
-            logits, seen = _logits(table)
-            self.logits.append(logits)
-            if CONTEXTS[k] == 4:
-                self.minor, self.early = _levels(seen, 4), _levels(seen, 0)
-        if model.counts[-1] is not None:
-            self.enter(model.counts[-1])
-
-    def enter(self, whole: np.ndarray) -> None:
-        """Takes a run's own table of whole beginnings."""
-        logits, seen = _logits(whole)
-        self.logits[CONTEXTS.index(0) :] = [logits]
-        self.late = _levels(seen, 0)
-        self.bits = bits_of(self.logits)
-
-    def mixed(self, slots: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        four, whole = slots[CONTEXTS.index(4)], slots[CONTEXTS.index(0)]
-        gate = np.where(place < FIRST_BYTES, self.early.take(four), self.late.take(whole)) * np.uint8(MINOR_LEVELS) + self.minor.take(four)
-        values = [table.take(slot) for table, slot in zip(self.logits, slots, strict=True)]
-        _same_contexts(values, place)
-        mixed = np.zeros(slots.shape[1], np.float32)
-        for value, weights in zip(values, self.weights, strict=True):
-            mixed += value * weights.take(gate)
-        return mixed, gate
-
-
-def _bins(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+
+def shrunk(values: np.ndarray) -> bytes:
+    """An array of whole numbers or records, compressed."""
+    if values.dtype == np.float32:
+        values = values.astype(np.uint8 if values.max(initial=0) < 256 else np.uint32 if values.max() < 1 << 24 else np.float32)
+    return values.dtype.char.encode() + values.nbytes.to_bytes(8, "little") + pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def restored(data: bytes, kind: np.dtype | None = None) -> np.ndarray:
+    size = int.from_bytes(data[1:9], "little")
+    return np.frombuffer(pa.decompress(memoryview(data)[9:], size, codec="zstd"), kind or np.dtype(data[:1].decode()))
+
+
+def slots_of(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+    """The slots of decisions at `node` under `context` in a table of 2 ** bits."""
+    with np.errstate(over="ignore"):  # of single nodes
+        return (((context ^ (node * _NODE)) * _SPREAD) >> np.uint64(64 - bits)).view(np.int64)
+
+
+def logit(taken: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.log((taken + np.float32(PRIOR)) / (other + np.float32(PRIOR)))
+
+
+class Counts:
+    """How often each slot has seen a 0 and a 1."""
+
+    def __init__(self, bits: int, data: np.ndarray | None = None) -> None:
+        self.bits = bits
+        self.data = np.zeros(2 << bits, np.float32) if data is None else data
+
+    def seen(self, slot: np.ndarray, decision: np.ndarray, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The logit of the decision taken, and how much the slot has seen; `left_out` occurrences of the decision don't count."""
+        if self.data.dtype == np.float32:  # both counts are read as one number
+            pair = self.data.view(np.complex64).take(slot, mode="clip").view(np.float32)
+        else:
+            pair = self.data.view(np.uint32).take(slot, mode="clip").view(np.float16).astype(np.float32)
+        zeros, ones = pair[::2], pair[1::2]
+        if left_out is not None:
+            zeros, ones = np.maximum(zeros - (left_out & (1 - decision)), 0, dtype=np.float32), np.maximum(ones - (left_out & decision), 0, dtype=np.float32)
+        return logit(ones, zeros) * (2 * decision - 1).astype(np.float32), zeros + ones
+
+    def add(self, slot: np.ndarray, decision: np.ndarray) -> None:
+        np.add.at(self.data, 2 * slot + decision, np.float32(1))
+
+    def segments(self) -> Iterator[tuple[int, bytes]]:
+        for at in range(0, len(self.data), 2 * SEGMENT):
+            if (part := self.data[at : at + 2 * SEGMENT]).any():
+                yield at // (2 * SEGMENT), shrunk(part)
+
+    @staticmethod
+    def merged(parts: list[bytes]) -> bytes:
+        total = restored(parts[0]).astype(np.float64)
+        for part in parts[1:]:
+            total += restored(part)
+        return shrunk(total.astype(np.float32))
+
+    @staticmethod
+    def assembled(bits: int, segments: list[tuple[int, bytes]]) -> Counts:
+        """A table for reading, in half precision; pairs too large for it are scaled down together."""
+        data = np.zeros(2 << bits, np.float16)
+        for number, part in segments:
+            pairs = restored(part).astype(np.float32).reshape(-1, 2)
+            pairs = pairs / np.maximum(1.0, pairs.max(axis=1, keepdims=True) / 60000.0)
+            data[number * 2 * SEGMENT :][: pairs.size] = pairs.reshape(-1)
+        return Counts(bits, data)
+
+
+class Expected:
+    """What followed each context: a slot holds one symbol, and how often it came and how often another."""
+
+    #: Bits of a stored symbol; those above tell contexts of a slot apart.
+    SYMBOL_BITS = 21
+    CHECK = (1 << (31 - SYMBOL_BITS)) - 1
+    KIND = np.dtype([("symbol", np.int32), ("hits", np.uint16), ("misses", np.uint16)])
+
+    def __init__(self, bits: int, data: np.ndarray | None = None) -> None:
+        self.bits = bits
+        self.data = np.zeros(1 << bits, self.KIND) if data is None else data
+
+    def places(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slots, and the marks of their contexts."""
+        return (context >> np.uint64(64 - self.bits)).view(np.int64), (context & np.uint64(self.CHECK)).astype(np.int32) << self.SYMBOL_BITS
+
+    def seen(self, place: tuple[np.ndarray, np.ndarray], symbol: np.ndarray, left_out: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The symbol expected (-1: none), its hits and its misses; `left_out` occurrences of `symbol` don't count."""
+        slot, mark = place
+        found = self.data.take(slot)
+        stored, hits, misses = found["symbol"], found["hits"].astype(np.int32), found["misses"].astype(np.int32)
+        expected = np.where((stored & ~np.int32((1 << self.SYMBOL_BITS) - 1)) == mark, stored & np.int32((1 << self.SYMBOL_BITS) - 1), -1)
+        own = expected == symbol
+        hits, misses = hits - own * left_out, np.maximum(misses - ~own * left_out, 0)
+        return np.where(hits > 0, expected, -1), np.maximum(hits, 0), misses
+
+    def add(self, place: tuple[np.ndarray, np.ndarray], symbol: np.ndarray) -> None:
+        slot, mark = place
+        coded = symbol.astype(np.int32) | mark
+        stored, hits, misses = (self.data[k] for k in self.KIND.names)
+        empty = hits[slot] == 0
+        stored[slot[empty]] = coded[empty]
+        same = stored[slot] == coded
+        for counts, at in ((hits, slot[same]), (misses, slot[~same])):
+            np.add.at(counts, at, np.uint16(1))
+            counts[at] = np.minimum(counts[at], 60000)
+        # A symbol that fails more often than it comes gives its slot up.
+        given_up = slot[~same]
+        given_up = given_up[misses[given_up] > hits[given_up]]
+        hits[given_up] = misses[given_up] = 0
+
+    def segments(self) -> Iterator[tuple[int, bytes]]:
+        for at in range(0, len(self.data), SEGMENT):
+            if (part := self.data[at : at + SEGMENT])["hits"].any():
+                yield at // SEGMENT, shrunk(part)
+
+    @staticmethod
+    def merged(parts: list[bytes]) -> bytes:
+        """Where parts hold different symbols the one with more hits stays, the other's hits are its misses."""
+        total = None
+        for data in sorted(parts):
+            new = restored(data, Expected.KIND)
+            if total is None:
+                total = {k: new[k].astype(np.int64) for k in Expected.KIND.names}
+                continue
+            symbol, hits, misses = (new[k].astype(np.int64) for k in Expected.KIND.names)
+            same = total["symbol"] == symbol
+            better = ~same & (hits > total["hits"])
+            lost = np.where(better, total["hits"], hits)
+            total["misses"] += misses + np.where(same, 0, lost)
+            total["hits"] = np.where(same, total["hits"] + hits, np.where(better, hits, total["hits"]))
+            total["symbol"] = np.where(better, symbol, total["symbol"])
+        out = np.zeros(len(total["hits"]), Expected.KIND)
+        for k in Expected.KIND.names:
+            out[k] = total[k] if k == "symbol" else np.minimum(total[k], 60000)
+        return shrunk(out)
+
+    @staticmethod
+    def assembled(bits: int, segments: list[tuple[int, bytes]]) -> Expected:
+        data = np.zeros(1 << bits, Expected.KIND)
+        for number, part in segments:
+            part = restored(part, Expected.KIND)
+            data[number * SEGMENT :][: len(part)] = part
+        return Expected(bits, data)
+
+
+def _nodes(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The refinement's node below each sum, and how far it lies towards the next."""
     scaled = (np.clip(mixed, -REACH, REACH) + REACH) * ((BINS - 1) / (2 * REACH))
-    low = np.minimum(scaled.astype(np.int64), BINS - 2)
+    low = np.minimum(scaled.astype(np.int32), BINS - 2)
     return low, scaled - low
 
 
-def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """The runs of a task's words, with their counts."""
-    words, counts = [], []
-    for data in batches:
-        words += data.column("word").to_pylist()
-        counts.append(data.column("c").to_numpy().astype(np.float64))
-    if words:
-        counts = np.concatenate(counts)
-        for at in runs(words):
-            yield [words[i] for i in at], counts[at]
-
-
-def learn(counts: list[np.ndarray | None]):
-    """A task's pass over its words (word, c): gated weights by online Newton steps, and refinement counts.
-
-    Each word is predicted from all the others: its own bits are taken out of the counts. A gate's weights
-    move after every run of words by its gradient over the curvature gathered so far; words weigh as often as
-    they occur.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A pair of counts is read as one number of eight bytes.
-        paired = lambda c: c.astype(np.float32).reshape(-1).view(np.complex64)
-        table = [paired(c) for c in counts if c is not None]
-        weights, seen = start_weights(), np.zeros(LEVELS * MINOR_LEVELS)
-        curve = np.repeat(np.eye(len(CONTEXTS))[None] * FIRM, len(seen), axis=0)
-        refine = np.zeros(LEVELS * BINS * 2)
-
-        def work(words: list[bytes], counted: np.ndarray) -> None:
-            bits = bits_of(table)
-            for part, some, _ in chunks(words, counted):
-                batch = lay_out(part)
-                weight = some[batch.word]
-                for bit in range(8):
-                    slots, value = bit_slots(batch, bit, bits)
-                    logits, gate = left_out_inputs(table, slots, value, batch.place)
-                    order = np.argsort(gate, kind="stable")
-                    gates, first = np.unique(gate[order], return_index=True)
-                    x, y, w = logits[order].astype(np.float64), value[order], weight[order]
-                    mixed = np.empty(len(y))
-                    for g, a, b in zip(gates, first, np.append(first[1:], len(y)), strict=True):
-                        own = x[a:b]
-                        mixed[a:b] = own @ weights[g]
-                        p = 1 / (1 + np.exp(-np.clip(mixed[a:b], -30, 30)))
-                        curve[g] += (own * (w[a:b] * (p * (1 - p) + (y[a:b] - p) ** 2))[:, None]).T @ own
-                        weights[g] += np.linalg.solve(curve[g], own.T @ (w[a:b] * (y[a:b] - p)))
-                        seen[g] += w[a:b].sum()
-                    low, _ = _bins(mixed)
-                    refine[:] += np.bincount(((gate[order].astype(np.int64) // MINOR_LEVELS) * BINS + low) * 2 + y, w, len(refine))
-
-        if counts[-1] is not None:
-            for data in batches:
-                work(data.column("word").to_pylist(), data.column("c").to_numpy().astype(np.float64))
-        else:  # words with the same beginning may be in different batches of the task
-            for words, counted in whole_runs(batches):
-                table[CONTEXTS.index(0) :] = [paired(whole_counts(words, counted))]
-                work(words, counted)
-        arrays = [pa.array([x.astype(np.float64).tobytes()], pa.binary()) for x in (weights, seen, refine)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["weights", "seen", "refine"])
-
-    return run
-
-
-def combine(counts: list[np.ndarray], rows) -> Model:
-    """The tasks' weights, averaged by how often each gate was seen, and their refinement counts together."""
-    shape = (LEVELS * MINOR_LEVELS, len(CONTEXTS))
-    total, mass = np.zeros(shape), np.zeros(shape[0])
-    refine = np.zeros((LEVELS, BINS, 2))
-    for weights, seen, part in rows:
-        seen = np.frombuffer(seen)
-        total += np.frombuffer(weights).reshape(shape) * seen[:, None]
-        mass += seen
-        refine += np.frombuffer(part).reshape(refine.shape)
-    weights = np.where(mass[:, None] > 0, total / np.maximum(mass, 1e-300)[:, None], start_weights())
-    # What falls into a bin lies above its lower edge by half a bin on average; empty bins keep the mixed value.
-    edges = (np.arange(BINS) + 0.5) * (2 * REACH / (BINS - 1)) - REACH
-    even = 1 / (1 + np.exp(-edges))
-    sums = refine.sum(axis=2)
-    return Model(counts, weights, (refine[:, :, 1] + 8 * even) / (sums + 8))
-
-
-def run_scores(lookup: Lookup, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """word_scores of all words of a task, with the table of whole beginnings that each run has of its own."""
-    out = np.zeros(len(words))
-    for at in runs(words):
-        run = [words[i] for i in at]
-        lookup.enter(whole_counts(run, counts[at]))
-        out[at] = word_scores(lookup, run)
-    return out
-
-
-def word_scores(lookup: Lookup, words: list[bytes]) -> np.ndarray:
-    """log10 probability of each word with its terminator, or of the end mark."""
-    out = np.zeros(len(words))
-    refine = lookup.model.refine
-    for part, _, at in chunks(words, np.zeros(len(words))):
-        batch = lay_out(part)
-        total = np.zeros(len(batch.byte))
-        for bit in range(8):
-            slots, value = bit_slots(batch, bit, lookup.bits)
-            mixed, gate = lookup.mixed(slots, batch.place)
-            # A bin's rate stands for its middle: interpolate with the neighbour on the value's side.
-            low, share = _bins(mixed)
-            level = gate // MINOR_LEVELS
-            other = np.clip(np.where(share < 0.5, low - 1, low + 1), 0, BINS - 2)
-            near = np.abs(share - 0.5)
-            p = (1 - near) * refine[level, low] + near * refine[level, other]
-            plain = 1 / (1 + np.exp(-np.clip(mixed, -30, 30)))
-            one = np.clip(REFINED * p + (1 - REFINED) * plain, 1e-6, 1 - 1e-6)
-            total += np.log10(np.where(value == 1, one, 1 - one))
-        out[at : at + len(part)] = np.bincount(batch.word, total, len(part))
-    return out
+class Mixer:
+    """Weights of the predictors for each gate, and the refinement's curve of each gate."""
+
+    def __init__(self, gates: int, predictors: int) -> None:
+        self.weights = np.full((gates, predictors), 1.5 / predictors)
+        self.curvature = np.repeat(np.eye(predictors)[None] * FIRM, gates, axis=0)
+        self.mass = np.zeros(gates)
+        self.curve = np.zeros((gates, BINS))
+
+    def mixed(self, logits: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        """Sums of the logits (predictors by decisions) under their gates' weights."""
+        out = np.zeros(logits.shape[1], np.float32)
+        for values, weights in zip(logits, self.weights.T.astype(np.float32), strict=True):
+            out += values * weights.take(gate, mode="clip")
+        return out
+
+    def learn(self, logits: np.ndarray, gate: np.ndarray) -> None:
+        """An online Newton step for each gate from decisions that the weights so far predict, and the curve's counts."""
+        order = np.argsort(gate, kind="stable")
+        seen = np.bincount(gate, minlength=len(self.mass))
+        turned = logits.take(order, axis=1)
+        at = 0
+        for g in np.flatnonzero(seen).tolist():
+            own = turned[:, at : at + seen[g]]
+            at += seen[g]
+            sums = self.weights[g].astype(np.float32) @ own
+            low, share = _nodes(sums)
+            self.curve[g] += np.bincount(low + (share >= 0.5), minlength=BINS)
+            missed = 1 / (1 + np.exp(np.clip(sums, -30, 30)))
+            # p (1 - p) + (1 - p) ** 2 is 1 - p.
+            self.curvature[g] += (own * missed) @ own.T
+            self.weights[g] += np.linalg.solve(self.curvature[g], own @ missed)
+            self.mass[g] += seen[g]
+
+    def ready(self) -> Mixer:
+        """Lays the curve out: the probability of a decision whose sum is at a node."""
+        rate = self.curve + EVEN_REFINED / (1 + np.exp(-np.linspace(-REACH, REACH, BINS)))
+        self.rate = (rate / (rate + rate[:, ::-1])).astype(np.float32)
+        return self
+
+    def log10(self, logits: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        """log10 probabilities of the decisions taken."""
+        mixed = self.mixed(logits, gate)
+        low, share = _nodes(mixed)
+        low += gate.astype(np.int32) * BINS
+        flat = self.rate.reshape(-1)
+        refined = (1 - share) * flat.take(low) + share * flat.take(low + 1)
+        plain = 1 / (1 + np.exp(-np.clip(mixed, -30, 30)))
+        return np.log10(np.clip(REFINED * refined + (1 - REFINED) * plain, LEAST, 1 - LEAST))
+
+    def packed(self) -> bytes:
+        return np.concatenate([self.weights * self.mass[:, None], self.mass[:, None], self.curve], axis=1).tobytes()
+
+    @staticmethod
+    def merged(parts: list[bytes]) -> bytes:
+        """Sums: weights by how often each gate was seen, and curves."""
+        return np.sum([np.frombuffer(p) for p in parts], axis=0).tobytes()
+
+    @staticmethod
+    def assembled(gates: int, predictors: int, parts: list[bytes]) -> Mixer:
+        out = Mixer(gates, predictors)
+        for part in parts:
+            part = np.frombuffer(part).reshape(gates, -1)
+            out.mass, out.curve = part[:, predictors], part[:, predictors + 1 :]
+            seen = out.mass[:, None] > 0
+            out.weights = np.where(seen, part[:, :predictors] / np.where(seen, out.mass[:, None], 1), out.weights)
+        return out.ready()
+
+
+#: How the parts of a model of each kind add up.
+MERGED = {"counts": Counts.merged, "expected": Expected.merged, "mixer": Mixer.merged}
+PARTS = "part int, kind string, name int, segment int, data binary"
+
+
+def part_rows(part: int, counts: list[Counts], expected: list[Expected], mixers: list[Mixer]) -> Iterator[pa.RecordBatch]:
+    """What a task has learned, as rows of PARTS."""
+
+    def rows() -> Iterator[tuple[str, int, int, bytes]]:
+        for kind, tables in (("counts", counts), ("expected", expected)):
+            for name, table in enumerate(tables):
+                for segment, data in table.segments():
+                    yield kind, name, segment, data
+        for name, mixer in enumerate(mixers):
+            yield "mixer", name, 0, mixer.packed()
+
+    for kind, name, segment, data in rows():
+        columns = [pa.array([part], pa.int32()), pa.array([kind]), pa.array([name], pa.int32()), pa.array([segment], pa.int32()), pa.array([data], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "kind", "name", "segment", "data"])
+
+
+def merge_parts(table: pa.Table) -> pa.Table:
+    """One row for the parts of one segment."""
+    kind = table.column("kind")[0].as_py()
+    first = table.slice(0, 1)
+    part = pa.array([table.column("part")[0].as_py() // FAN_IN], pa.int32())
+    return pa.table([part, *(first.column(c) for c in ("kind", "name", "segment")), pa.array([MERGED[kind](table.column("data").to_pylist())], pa.binary())], names=table.schema.names)

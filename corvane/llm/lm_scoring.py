@@ -3,29 +3,28 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import context_mixing as cm
-from corvane.llm.common import parts, require
+from corvane.llm import word_codes as wc
+from corvane.llm.common import parts, require, spread
 from corvane.llm.wordhash import Words, blocks
 from corvane.session import cut
 
-#: Documents and bytes of text whose distinct words meet in one task, about, and distinct words that one task learns from.
-BLOCK_DOCUMENTS, BLOCK_TEXT, TASK_WORDS = 8192, 48_000_000, 1_000_000
-#: Bytes of text for a bucket of words; words with the same first bytes are in one bucket.
-BUCKET_TEXT = 1_000_000
+#: Words that get a leaf of the code: the bound of what is broadcast of them, 60 bytes each. A word that training text holds once gets none.
+MOST_LEAVES = 1 << 20
+#: Bytes of text that one learner reads in order: as many as give each core one, within these bounds.
+LEAST_TASK_TEXT, MOST_TASK_TEXT = 2_000_000, 512_000_000
+#: Tokens whose distinct words are counted together.
+COUNT_TOKENS = 2_000_000
 SMOOTHING = 0.1
-#: Classes of documents with word frequencies of their own: the most frequent values of the class column, and one for the rest.
-MOST_CLASSES = 7
-#: Occurrences that the classes' own shares count for in a word's shares, and steps of a stored log10 ratio.
-EVEN, RATIO_STEP = 0.5, 0.04
-#: The end mark's place among the word hashes.
-END_HASH = -7046029254386353131
 
 
 def held_out(doc_id: Column) -> Column:
@@ -33,190 +32,203 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(10)) == 0
 
 
-def _bytes_of(words: Words, chosen: np.ndarray) -> pa.Array:
-    """The chosen words' bytes as an Arrow array."""
-    starts, sizes = words.starts[chosen], words.ends[chosen] - words.starts[chosen]
-    offsets = np.zeros(len(chosen) + 1, np.int32)
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the texts' words with their counts, summed over runs of texts."""
+    hashes: list[np.ndarray] = []
+
+    def counted() -> pa.RecordBatch:
+        distinct, count = np.unique(np.concatenate(hashes), return_counts=True)
+        hashes.clear()
+        return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(count.astype(np.int64))], names=["h", "c"])
+
+    for batch in batches:
+        for _, _, words in blocks(batch.column("text")):
+            hashes.append(words.hashes)
+            if sum(map(len, hashes)) >= COUNT_TOKENS:
+                yield counted()
+    if hashes:
+        yield counted()
+
+
+_ready: dict[str, Any] = {}
+
+
+def _once(key: str, make: Callable[[], Any]) -> Any:
+    """What a worker makes of a broadcast value, kept until it needs another."""
+    if key not in _ready:
+        _ready.clear()
+        _ready[key] = make()
+    return _ready[key]
+
+
+def _rare_column(words: Words, tokens: wc.Stream, first: int, last: int) -> pa.Array:
+    """For each text the words without a leaf: hash, bytes and signal word."""
+    at = np.flatnonzero((tokens.leaf == wc.RARE) & (tokens.word >= 0))
+    word = tokens.word[at]
+    starts, sizes = words.starts[word], words.ends[word] - words.starts[word]
+    offsets = np.zeros(len(at) + 1, np.int64)
     np.cumsum(sizes, out=offsets[1:])
     data = words.data[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])]
-    return pa.BinaryArray.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+    text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())]).cast(pa.binary())
+    kinds = pa.StructArray.from_arrays([pa.array(words.hashes[word].view(np.int64)), text, pa.array(tokens.signal[at].astype(np.int32))], names=["h", "word", "signal"])
+    rows = np.zeros(last - first + 1, np.int32)
+    np.cumsum(np.bincount(tokens.row[at], minlength=last - first), out=rows[1:])
+    return pa.ListArray.from_arrays(pa.array(rows), kinds)
 
 
-def _count(classes: int):
-    """Distinct words of a block of documents (block, class, text), with their counts in training documents by class.
+def _learn_words(shared: Broadcast, bits: tuple[int, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, model, part = shared.value, wc.WordModel.empty(bits), 0
+        for batch in batches:
+            part = batch.column("part")[0].as_py()
+            for _, _, words in blocks(batch.column("text")):
+                wc.learn_words(codes, model, words)
+        if model.mixers[0].mass.any():
+            yield from cm.part_rows(part, model.counts, model.expected, model.mixers)
 
-    Class -1: held out, counts nowhere.
-    """
+    return run
 
-    def run(table: pa.Table) -> pa.Table:
-        hashes, counts, texts = [], [], []
-        taught = np.zeros(classes, np.int64)
-        for batch in table.to_batches():
-            kind = batch.column("class").to_numpy()
-            taught += np.bincount(kind[kind >= 0], minlength=classes)
-            for first, last, words in blocks(batch.column("text")):
-                own = np.repeat(kind[first:last], np.diff(words.rows))
-                distinct, at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-                hashes.append(distinct)
-                table_ = np.bincount(which[own >= 0] * classes + own[own >= 0], minlength=len(distinct) * classes)
-                counts.append(table_.reshape(-1, classes))
-                texts.append(_bytes_of(words, at))
-        hashes.append(np.array([END_HASH], np.int64).view(np.uint64))
-        counts.append(taught[None])
-        texts.append(pa.array([cm.END_WORD], pa.binary()))
-        distinct, at, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        counts = np.concatenate(counts)
-        total = [pa.array(np.bincount(which, counts[:, k], len(distinct)).astype(np.int64)) for k in range(classes)]
-        text = pa.chunked_array(texts, pa.binary()).take(pa.array(at))
-        block = pa.array(np.full(len(distinct), table.column("block")[0].as_py(), np.int32))
-        return pa.table([block, pa.array(distinct.view(np.int64)), text, *total], names=["block", "h", "word", *[f"n{k}" for k in range(classes)]])
 
-    return run
+def _score_words(shared: Broadcast, bits: tuple[int, ...]):
+    def model() -> tuple[wc.Codes, wc.WordModel]:
+        _, codes, rows = shared.value
+        of = lambda kind, name: [(s, d) for k, n, s, d in rows if (k, n) == (kind, name)]
+        counts = [cm.Counts.assembled(b, of("counts", i)) for i, b in enumerate(bits[:3])]
+        expected = [cm.Expected.assembled(b, of("expected", i)) for i, b in enumerate(bits[3:])]
+        shapes = ((wc.TREE_GATES, wc.TREE_PREDICTORS), (wc.WORD_GATES, wc.WORD_PREDICTORS))
+        mixers = [cm.Mixer.assembled(*shape, [d for _, d in of("mixer", i)]) for i, shape in enumerate(shapes)]
+        return codes, wc.WordModel(counts, expected, mixers)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, words_model = _once(shared.value[0], model)
+        logs = np.log10(codes.counts.astype(np.float64) + SMOOTHING)
+        for batch in batches:
+            taught = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            for first, last, words in blocks(batch.column("text")):
+                tokens, score = wc.score_words(codes, words_model, words, taught[first:last])
+                n, row = last - first, tokens.row
+                known = tokens.leaf != wc.RARE
+                sums = [np.bincount(row, minlength=n), np.bincount(row[~known], minlength=n), np.bincount(row[known], codes.counts[tokens.leaf[known]] > 0, n).astype(np.int64)]
+                sums += [np.bincount(row[known], logs[tokens.leaf[known]], n), np.bincount(row, score, n)]
+                kept = [batch.column(c).slice(first, n) for c in ("doc_id", "held_out", "k1", "k2", "n_bytes")]
+                columns = [*kept, *(pa.array(x) for x in sums), _rare_column(words, tokens, first, last)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "k1", "k2", "n_bytes", "n_tokens", "n_rare", "n_known", "base", "score", "rare"])
 
-_ready: dict[str, cm.Lookup] = {}
+    return run
 
 
-def _score_words(shared, shares: np.ndarray):
+def _learn_spelling(bits: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, model = shared.value
-        if key not in _ready:
-            _ready.clear()
-            _ready[key] = cm.Lookup(cm.Model(cm.unpacked(model[0]), *model[1:]))
-        # A partition holds whole buckets; each is scored by itself, so that partitions don't change scores.
-        held = list(batches)
-        table = pa.Table.from_batches(held).sort_by("bucket") if held else None
-        buckets = table.column("bucket").to_numpy() if held else np.zeros(0, np.int32)
-        first = np.flatnonzero(np.diff(buckets, prepend=-1))
-        for at, end in zip(first.tolist(), [*first[1:].tolist(), len(buckets)], strict=False):
-            batch = table.slice(at, end - at)
-            scores = cm.run_scores(_ready[key], batch.column("word").to_pylist(), batch.column("c").to_numpy().astype(np.float64))
-            n = np.stack([batch.column(f"n{k}").to_numpy() for k in range(len(shares))], axis=1)
-            # How much likelier the word is in each class than in all: share of the word's counts over the class's share.
-            ratio = (n + EVEN * shares) / (n.sum(axis=1, keepdims=True) + EVEN) / shares
-            steps = np.clip(np.round(np.log10(ratio) / RATIO_STEP), -127, 127).astype(np.int8)
-            ratios = pa.array([row.tobytes() for row in steps], pa.binary())
-            arrays = [batch.column("h"), batch.column("c"), pa.array(scores), ratios, batch.column("blocks").cast(pa.list_(pa.int32()))]
-            yield from pa.table(arrays, names=["h", "c", "logp", "ratios", "blocks"]).to_batches()
+        model, part = wc.SpellingModel.empty(bits), 0
+        for batch in batches:
+            part = batch.column("part")[0].as_py()
+            wc.learn_spelling(model, batch.column("word").to_pylist(), batch.column("signal").to_numpy())
+        if model.mixer.mass.any():
+            yield from cm.part_rows(part, model.counts, [], [model.mixer])
 
     return run
 
 
-def _score_block(n: int, v: int, shares: np.ndarray):
-    floor = np.log10(n + SMOOTHING * (v + 1))
+def _score_spelling(shared: Broadcast, bits: tuple[int, ...]):
+    def model() -> wc.SpellingModel:
+        rows = shared.value[1]
+        tables = [cm.Counts.assembled(b, [(s, d) for k, n, s, d in rows if (k, n) == ("counts", i)]) for i, b in enumerate(bits)]
+        return wc.SpellingModel(tables, cm.Mixer.assembled(wc.SPELLING_GATES, len(bits), [d for k, _, _, d in rows if k == "mixer"]))
 
-    def run(docs: pa.Table, vocabulary: pa.Table) -> pa.Table:
-        h = vocabulary.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(h)
-        h, c, logp = h[order], vocabulary.column("c").to_numpy()[order], vocabulary.column("logp").to_numpy()[order]
-        base = np.log10(c + SMOOTHING) - floor
-        ratios = np.frombuffer(b"".join(vocabulary.column("ratios").to_pylist()), np.int8).reshape(-1, len(shares))[order] * np.float32(RATIO_STEP)
-        end = int(np.searchsorted(h, np.array([END_HASH], np.int64).view(np.uint64))[0]) if len(h) else 0
-        out: list[list] = [[] for _ in range(5)]
-        for batch in docs.to_batches():
-            for _, _, words in blocks(batch.column("text")):
-                rows, sizes = len(words.rows) - 1, np.diff(words.rows)
-                at = np.searchsorted(h, words.hashes)
-                if not np.array_equal(h[np.minimum(at, len(h) - 1)], words.hashes):
-                    raise ValueError("a word is missing from its block's vocabulary")
-                row = np.repeat(np.arange(rows), sizes)
-                out[0] += (sizes + 1).tolist()
-                out[1] += (np.bincount(row, c[at] > 0, rows) + (c[end] > 0)).astype(np.int64).tolist()
-                out[2] += (np.bincount(row, base[at], rows) + base[end]).tolist()
-                # The text's probability is the mean over the classes, weighted by their shares.
-                by = np.log10(shares) + np.stack([np.bincount(row, ratios[at, k], rows) + ratios[end, k] for k in range(len(shares))], axis=1)
-                top = by.max(axis=1)
-                mean = top + np.log10((10 ** (by - top[:, None])).sum(axis=1))
-                out[3] += (np.bincount(row, logp[at], rows) + logp[end] + mean).tolist()
-                out[4] += np.bincount(row, (words.ends - words.starts) + 1, rows).astype(np.int64).tolist()
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-        columns = [pa.array(x, k) for x, k in zip(out, kinds, strict=True)]
-        return pa.table(
-            [docs.column("doc_id"), docs.column("held_out"), *columns], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelling = _once(shared.value[0], model)
+        for batch in batches:
+            score = wc.score_spelling(spelling, batch.column("word").to_pylist(), batch.column("signal").to_numpy(), batch.column("taught").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("h", "signal", "taught")), pa.array(score)], names=["h", "signal", "taught", "spelling"])
 
     return run
 
 
-def _over_batches(run, schema: str):
-    """A function of batches as one of a group's table."""
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
-    fields = pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(", "))])
-    return lambda table: pa.Table.from_batches(list(run(iter(table.select(["word", "c"]).to_batches()))), fields)
+def _learned(rows: DataFrame, learner, tasks: int) -> list[tuple[str, int, int, bytes]]:
+    """What `tasks` learners that each read their rows in order have learned, added up."""
+    spark = rows.sparkSession
+    found = rows.coalesce(tasks).withColumn("part", F.spark_partition_id()).mapInArrow(learner, cm.PARTS)
+    while tasks > 1:  # a task adds up FAN_IN parts of one segment
+        found = found.groupBy("kind", "name", "segment", F.floor(F.col("part") / cm.FAN_IN)).applyInArrow(cm.merge_parts, cm.PARTS)
+        tasks = parts(tasks, cm.FAN_IN)
+    return [tuple(r) for r in cut(found).select("kind", "name", "segment", "data").collect()]
 
 
-def train(vocabulary: DataFrame, task_words: int = TASK_WORDS) -> cm.Model:
-    """A context-mixing model of the words (bucket, word, c); c is how often training text holds the word.
+def vocabulary(words: DataFrame, totals: Any, most_leaves: int = MOST_LEAVES) -> wc.Codes:
+    """The code of the words (h, c) that occur at least twice and are among the about `most_leaves` most frequent ones.
 
-    Both passes run over tasks of about `task_words` distinct words. The tables of short contexts have fixed
-    sizes, that of six bytes grows up to a bound; all whole beginnings of a word lie in its own task.
+    totals: `tokens`, the training tokens, and `ends`, the training texts. Only what gets a leaf comes to the driver.
     """
-    spark = vocabulary.sparkSession
-    known = vocabulary.where("c > 0").select("bucket", "word", "c")
-    bits = cm.table_bits(known.count())
-    # Groups, not partitions: how many tables come up depends on the words alone. Whole buckets are in a task.
-    task = F.pmod(F.col("bucket"), F.lit(parts(known.count(), task_words)))
-    dealt = known.select(task.alias("task"), "word", "c").groupBy("task")
-    schema = "predictor int, segment int, data binary"
-    segments = dealt.applyInArrow(_over_batches(lambda it: cm.count_tables(it, bits, whole=False), schema), schema)
-    summed = segments.groupBy("predictor", "segment").applyInArrow(cm.add_segments, schema)
-    counts = cm.assemble(summed.toLocalIterator(), bits, whole=False)
-    shared = spark.sparkContext.broadcast(cm.packed(counts))
-    schema = "weights binary, seen binary, refine binary"
-    learned = dealt.applyInArrow(_over_batches(lambda it: cm.learn(cm.unpacked(shared.value))(it), schema), schema).collect()
-    shared.unpersist()
-    return cm.combine(counts, learned)
+    least = [F.count_if(F.col("c") >= 1 << k).alias(f"n{k}") for k in range(1, 48)]
+    held = words.agg(*least).first()
+    k = next((k for k in range(1, 48) if held[f"n{k}"] <= most_leaves), 48)
+    found = words.where(F.col("c") >= 1 << k).select("h", "c").toArrow()
+    hashes, counts = found.column("h").to_numpy().view(np.uint64), found.column("c").to_numpy()
+    return wc.huffman(hashes, counts, int(totals["tokens"] - counts.sum()), int(totals["ends"]))
+
 
+def score(documents: DataFrame, most_leaves: int = MOST_LEAVES) -> DataFrame:
+    """log10 probabilities of documents (doc_id, text), learned from those that aren't held out.
 
-def score(
-    documents: DataFrame, class_column: str | None = "lang", block_documents: int = BLOCK_DOCUMENTS,
-    task_words: int = TASK_WORDS, most_classes: int = MOST_CLASSES,
-) -> DataFrame:
-    """log10 probabilities of documents (doc_id, text, class column), learned from those that aren't held out.
+    Tokens are the words, A-Z lower-cased, and one end mark. All counts cover all training documents. The model
+    codes a text in order, token by token (`word_codes`): decisions in a Huffman tree of the words that training
+    text holds at least twice, predicted from the tree's counts, the last signal word, the word before, and the words that
+    followed the last two and the last four words; any other word is spelled. Probabilities of all texts
+    add up to 1 at most. Learners read their share of the texts once, online, and their counts are added up;
+    with another split of the input the mixing weights differ slightly. A training text is scored without the counts
+    that it gave itself, so that its score is comparable with those of held-out texts.
 
-    Tokens are the words, A-Z lower-cased, and one end mark. Documents are dealt into blocks by a hash; a
-    block's distinct words, not its tokens, are shuffled, counted over all blocks, scored once by the model
-    and sent back to the blocks that hold them. Every count covers all training documents. A word's
-    probability is that of context mixing times its likelihood ratio in a class of documents; a text's is
-    the mixture over the classes, so its own class is never read. Classes are the training values of
-    `class_column` (null and rare ones together); None: one class.
+    Texts are never shuffled, only counts of distinct words, parts of tables, and words without a leaf. Tables
+    grow with the training tokens up to a bound (`word_bits`, `spelling_bits`: about 270 MB a worker); past that more
+    contexts share a slot. Exact counts of words grow without a bound.
 
     Null or empty text: the end mark alone. Null doc_id: as an empty id in the choice of held-out rows.
-    Repeated rows are scored (and learned from) each. No training rows: all counts 0, every bit even. Extra
-    columns are left aside. No documents: no rows.
+    Repeated rows are scored (and learned from) each. No training rows: all counts 0, every decision even.
+    Extra columns are left aside. No documents: no rows.
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
     """
     spark = documents.sparkSession
-    named = F.col(class_column).cast("string") if class_column else F.lit(None).cast("string")
-    docs = require(documents, "doc_id", "text", *[c for c in [class_column] if c]).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"), named.alias("class")
+    text, id_ = F.coalesce("text", F.lit("")), F.col("doc_id").cast("long")
+    docs = require(documents, "doc_id", "text").select(id_.alias("doc_id"), text.alias("text"), held_out(F.col("doc_id")).alias("held_out"))
+    taught_bytes = F.when(~F.col("held_out"), F.octet_length("text").cast("long"))
+    size = docs.agg(F.count_if(~F.col("held_out")).alias("ends"), *[F.coalesce(F.sum(x), F.lit(0)).alias(n) for n, x in (("bytes", taught_bytes), ("all", F.octet_length("text").cast("long")))]).first()
+    docs = spread(docs, size["all"])
+    taught = docs.where("not held_out").select("text")
+    words = cut(taught.mapInArrow(_count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
+    sums = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("tokens")).first()
+    ends = size["ends"]
+    n, v = sums["tokens"] + ends, sums["v"] + (ends > 0)
+    codes = vocabulary(words, {"tokens": sums["tokens"], "ends": ends}, most_leaves)
+    task_text = min(max(parts(size["bytes"], spark.sparkContext.defaultParallelism), LEAST_TASK_TEXT), MOST_TASK_TEXT)
+    bits = wc.word_bits(n)
+    shared = spark.sparkContext.broadcast(codes)
+    learned = _learned(taught, _learn_words(shared, bits), parts(size["bytes"], task_text))
+    shared.unpersist()
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, codes, learned))
+    # Rows with the same key have the same doc_id and text, and so the same score.
+    keyed = docs.select("doc_id", "held_out", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"),
+                        F.octet_length("text").cast("long").alias("n_bytes"), "text")
+    schema = "doc_id long, held_out boolean, k1 long, k2 long, n_bytes long, n_tokens long, n_rare long, n_known long, base double, score double, rare array<struct<h:long,word:binary,signal:int>>"
+    rows = cut(keyed.mapInArrow(_score_words(shared, bits), schema))
+    shared.unpersist()
+    rare = rows.select("k1", "k2", (~F.col("held_out")).alias("taught"), F.explode("rare").alias("r")).select("k1", "k2", "taught", "r.*")
+    spelled = rows.where("not held_out").select(F.explode("rare").alias("r")).select("r.word", "r.signal")
+    known_bytes = rows.where("not held_out").agg(F.coalesce(F.sum(F.aggregate("rare", F.lit(0).cast("long"), lambda a, r: a + F.octet_length(r["word"]) + 1)), F.lit(0))).first()[0]
+    spelling_bits = wc.spelling_bits(known_bytes)
+    learned = _learned(spelled, _learn_spelling(spelling_bits), parts(known_bytes, max(LEAST_TASK_TEXT // 8, task_text // 8)))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, learned))
+    distinct = rare.groupBy("h", "signal", "taught").agg(F.min("word").alias("word"))
+    priced = distinct.mapInArrow(_score_spelling(shared, spelling_bits), "h long, signal int, taught boolean, spelling double")
+    priced = priced.join(words, "h", "left").select("h", "signal", "taught", "spelling", F.coalesce("c", F.lit(0)).alias("c"))
+    of_rows = rare.join(priced, ["h", "signal", "taught"]).groupBy("k1", "k2").agg(
+        F.count("*").alias("found"), F.count_if(F.col("c") > 0).alias("seen"), F.sum("spelling").alias("spelling"), F.sum(F.log10(F.col("c") + SMOOTHING)).alias("logs")
     )
-    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()
-    count = max(parts(size["n"], block_documents), parts(size["b"], BLOCK_TEXT))
-    kinds = docs.where("not held_out and class is not null").groupBy("class").agg(F.count("*").alias("n"))
-    kinds = [r["class"] for r in kinds.orderBy(F.desc("n"), "class").limit(most_classes).collect()]
-    number = F.lit(len(kinds))
-    for i, kind in enumerate(kinds):
-        number = F.when(F.col("class") == kind, i).otherwise(number)
-    docs = docs.withColumn("class", F.when(F.col("held_out"), -1).otherwise(number).cast("int"))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).cast("int"))
-    names = [f"n{k}" for k in range(len(kinds) + 1)]
-    schema = "block int, h long, word binary, " + ", ".join(f"{n} long" for n in names)
-    found = docs.select("block", "class", "text").groupBy("block").applyInArrow(_count(len(names)), schema)
-    sums = [F.sum(n).alias(n) for n in names]
-    bucket = F.pmod(F.xxhash64(F.substring("word", 1, cm.FIRST_BYTES)), F.lit(parts(size["b"], BUCKET_TEXT))).cast("int")
-    found = found.withColumn("bucket", bucket).repartition("bucket")
-    words = found.groupBy("bucket", "h").agg(F.min("word").alias("word"), F.collect_list("block").alias("blocks"), *sums)
-    words = cut(words.withColumn("c", sum((F.col(n) for n in names[1:]), F.col(names[0]))))
-    totals = words.agg(F.count_if(F.col("c") > 0), *[F.coalesce(F.sum(n), F.lit(0)) for n in names]).first()
-    n, v = sum(totals[1:]), totals[0]
-    shares = (np.array(totals[1:], np.float64) + 0.01) / (n + 0.01 * len(names))
-    model = train(words, task_words)
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, (cm.packed(model.counts), *model[1:])))
-    scored = words.select("bucket", "h", "word", "c", "blocks", *names).mapInArrow(_score_words(shared, shares), "h long, c long, logp double, ratios binary, blocks array<int>")
-    slices = scored.select(F.explode("blocks").alias("block"), "h", "c", "logp", "ratios")
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
-    rows = docs.select("block", "doc_id", "held_out", "text")
-    out = rows.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(_score_block(n, v, shares), schema)
-    bits = F.try_divide(-F.col("score") * float(np.log2(10)), F.col("n_bytes") + 1)
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte"))
+    out = rows.drop("rare").join(of_rows, ["k1", "k2"], "left")
+    share = F.col("n_rare") / F.col("found")  # of a row among those with its key
+    total = lambda own, found: F.col(own) + F.coalesce(F.col(found) * share, F.lit(0.0))
+    base = total("base", "logs") - F.col("n_tokens") * float(np.log10(n + SMOOTHING * (v + 1)))
+    score_ = total("score", "spelling")
+    return out.select(
+        "doc_id", "held_out", "n_tokens", F.round(total("n_known", "seen")).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        base.alias("base_score"), score_.alias("score"), F.try_divide(-score_ * float(np.log2(10)), F.col("n_bytes") + 1).alias("bits_per_byte"),
+    )

@@ -12,7 +12,6 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.llm import context_mixing as cm
 from corvane.llm import fingerprints, language, lm_scoring, near_duplicates, packing, pii
 from corvane.llm.wordhash import blocks, shingle_sets
 
@@ -146,59 +145,6 @@ def test_language(spark):
     assert (nothing["lang_pred"], nothing["score"]) == ("und", 0.0)
 
 
-def test_base_scores(spark):
-    rows = [*corpus(80), (500, None, None, None), (501, "  ", "en", "s"), (None, "no id", "en", "s")]
-    found = lm_scoring.score(frame(spark, rows).withColumn("score", F.lit(0)), block_documents=30, task_words=200).collect()
-    tokens = {i: [*words(t), "\n"] for i, t, *_ in rows}
-    out = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i in tokens}
-    counts = collections.Counter(w for i, ws in tokens.items() if not out[i] for w in ws)
-    n, v = sum(counts.values()), len(counts)
-    assert len(found) == len(rows)
-    for r in found:
-        ws = tokens[r["doc_id"]]
-        want = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (out[r["doc_id"]], len(ws), sum(counts[w] > 0 for w in ws), n)
-        assert math.isclose(r["base_score"], want, rel_tol=1e-9) and r["score"] < 0
-
-
-def test_word_probabilities_sum_to_at_most_one():
-    rng = random.Random(3)
-    seen = collections.Counter(prose(rng, "en", 1).encode() for _ in range(3000))
-    seen[cm.END_WORD] = 100
-    batch = pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()))], names=["word", "c"])
-    rows = []
-    for s in cm.count_tables(iter([batch])):
-        t = cm.add_segments(pa.Table.from_batches([s]))
-        rows.append((t["predictor"][0].as_py(), t["segment"][0].as_py(), t["data"][0].as_py()))
-    counts = cm.assemble(rows)
-    learned = [(b["weights"][0].as_py(), b["seen"][0].as_py(), b["refine"][0].as_py()) for b in cm.learn(counts)(iter([batch]))]
-    scores = dict(zip(seen, cm.word_scores(cm.Lookup(cm.combine(counts, learned)), list(seen)), strict=True))
-    total = sum(10**s for s in scores.values())
-    assert 0.8 < total <= 1 + 1e-9
-    common = seen.most_common(20)
-    assert all(abs(scores[w] - math.log10(c / sum(seen.values()))) < 0.35 for w, c in common)
-
-
-def test_tables_grow_with_the_words():
-    rng = random.Random(9)
-    seen = sorted({prose(rng, "de", 1).encode() + str(rng.randint(0, 10**6)).encode() for _ in range(60_000)})
-    assert cm.table_bits(10 * len(seen))[4] > cm.table_bits(len(seen) // 10)[4]
-    parts = [[seen[i] for i in at] for at in cm.runs(seen)]
-    firsts = [{w[:4] for w in p} for p in parts]
-    assert sorted(sum(parts, [])) == seen and len(parts) > 1 and sum(map(len, firsts)) == len(set().union(*firsts))
-    for words_ in (parts[0], parts[0][:500]):
-        table = cm.whole_counts(words_, np.ones(len(words_)))
-        batch = cm.lay_out(words_)
-        behind = collections.Counter()  # words with the same beginning, by (beginning, byte)
-        for w in words_:
-            for i in range(len(w) + 1):
-                behind[w[:i], (w + b" ")[i]] += 1
-        starts = np.flatnonzero(batch.place == 0)
-        slots, value = cm.bit_slots(batch, 7, cm.bits_of([table]), slice(5, None))
-        exact = [table[slots[0][at + i], value[at + i]] == behind[w[:i], (w + b" ")[i]] for at, w in zip(starts, words_, strict=True) for i in range(4, len(w) + 1)]
-        assert np.mean(exact) > 0.8  # words seen once are counted, and few share slots however many there are
-
-
 def brute_components(rows, percent):
     sets = {i: shingles(t) for i, t in rows}
     label = {i: i for i in sets}
