@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -21,7 +20,7 @@ from corvane.session import cut
 #: Words that get a leaf of the code: the bound of what is broadcast of them, 60 bytes each. A word that training text holds once gets none.
 MOST_LEAVES = 1 << 20
 #: Bytes of text that one learner reads in order: as many as give each core one, within these bounds.
-LEAST_TASK_TEXT, MOST_TASK_TEXT = 2_000_000, 512_000_000
+LEAST_TASK_TEXT, MOST_TASK_TEXT = 8_000_000, 512_000_000
 #: Tokens whose distinct words are counted together.
 COUNT_TOKENS = 2_000_000
 SMOOTHING = 0.1
@@ -50,15 +49,30 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-_ready: dict[str, Any] = {}
+class Sent:
+    """What is broadcast to make a model of: a worker makes it once, and then holds only the model."""
 
+    def __init__(self, make: Callable[..., Any], *parts: Any) -> None:
+        self.make, self.parts, self.made = make, parts, None
 
-def _once(key: str, make: Callable[[], Any]) -> Any:
-    """What a worker makes of a broadcast value, kept until it needs another."""
-    if key not in _ready:
-        _ready.clear()
-        _ready[key] = make()
-    return _ready[key]
+    def get(self) -> Any:
+        if self.parts:
+            self.made, self.parts = self.make(*self.parts), ()
+        return self.made
+
+
+def _word_model(codes: wc.Codes, bits: tuple[int, ...], rows: list[tuple]) -> tuple[wc.Codes, wc.WordModel]:
+    of = lambda kind, name: [(s, d) for k, n, s, d in rows if (k, n) == (kind, name)]
+    counts = [cm.Counts.assembled(b, of("counts", i)) for i, b in enumerate(bits[:3])]
+    expected = [cm.Expected.assembled(b, of("expected", i)) for i, b in enumerate(bits[3:])]
+    shapes = ((wc.TREE_GATES, wc.TREE_PREDICTORS), (wc.WORD_GATES, wc.WORD_PREDICTORS))
+    mixers = [cm.Mixer.assembled(*shape, [d for _, d in of("mixer", i)]) for i, shape in enumerate(shapes)]
+    return codes, wc.WordModel(counts, expected, mixers)
+
+
+def _spelling_model(bits: tuple[int, ...], rows: list[tuple]) -> wc.SpellingModel:
+    tables = [cm.Counts.assembled(b, [(s, d) for k, n, s, d in rows if (k, n) == ("counts", i)]) for i, b in enumerate(bits)]
+    return wc.SpellingModel(tables, cm.Mixer.assembled(wc.SPELLING_GATES, len(bits), [d for k, _, _, d in rows if k == "mixer"]))
 
 
 def _rare_column(words: Words, tokens: wc.Stream, first: int, last: int) -> pa.Array:
@@ -89,18 +103,9 @@ def _learn_words(shared: Broadcast, bits: tuple[int, ...]):
     return run
 
 
-def _score_words(shared: Broadcast, bits: tuple[int, ...]):
-    def model() -> tuple[wc.Codes, wc.WordModel]:
-        _, codes, rows = shared.value
-        of = lambda kind, name: [(s, d) for k, n, s, d in rows if (k, n) == (kind, name)]
-        counts = [cm.Counts.assembled(b, of("counts", i)) for i, b in enumerate(bits[:3])]
-        expected = [cm.Expected.assembled(b, of("expected", i)) for i, b in enumerate(bits[3:])]
-        shapes = ((wc.TREE_GATES, wc.TREE_PREDICTORS), (wc.WORD_GATES, wc.WORD_PREDICTORS))
-        mixers = [cm.Mixer.assembled(*shape, [d for _, d in of("mixer", i)]) for i, shape in enumerate(shapes)]
-        return codes, wc.WordModel(counts, expected, mixers)
-
+def _score_words(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, words_model = _once(shared.value[0], model)
+        codes, words_model = shared.value.get()
         logs = np.log10(codes.counts.astype(np.float64) + SMOOTHING)
         for batch in batches:
             taught = ~batch.column("held_out").to_numpy(zero_copy_only=False)
@@ -129,15 +134,10 @@ def _learn_spelling(bits: tuple[int, ...]):
     return run
 
 
-def _score_spelling(shared: Broadcast, bits: tuple[int, ...]):
-    def model() -> wc.SpellingModel:
-        rows = shared.value[1]
-        tables = [cm.Counts.assembled(b, [(s, d) for k, n, s, d in rows if (k, n) == ("counts", i)]) for i, b in enumerate(bits)]
-        return wc.SpellingModel(tables, cm.Mixer.assembled(wc.SPELLING_GATES, len(bits), [d for k, _, _, d in rows if k == "mixer"]))
-
+def _score_spelling(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = _once(shared.value[0], model)
         for batch in batches:
+            spelling = shared.value.get()
             score = wc.score_spelling(spelling, batch.column("word").to_pylist(), batch.column("signal").to_numpy(), batch.column("taught").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("h", "signal", "taught")), pa.array(score)], names=["h", "signal", "taught", "spelling"])
 
@@ -151,7 +151,7 @@ def _learned(rows: DataFrame, learner, tasks: int) -> list[tuple[str, int, int,
     while tasks > 1:  # a task adds up FAN_IN parts of one segment
         found = found.groupBy("kind", "name", "segment", F.floor(F.col("part") / cm.FAN_IN)).applyInArrow(cm.merge_parts, cm.PARTS)
         tasks = parts(tasks, cm.FAN_IN)
-    return [tuple(r) for r in cut(found).select("kind", "name", "segment", "data").collect()]
+    return [tuple(r) for r in found.select("kind", "name", "segment", "data").toLocalIterator()]
 
 
 def vocabulary(words: DataFrame, totals: Any, most_leaves: int = MOST_LEAVES) -> wc.Codes:
@@ -204,21 +204,21 @@ def score(documents: DataFrame, most_leaves: int = MOST_LEAVES) -> DataFrame:
     shared = spark.sparkContext.broadcast(codes)
     learned = _learned(taught, _learn_words(shared, bits), parts(size["bytes"], task_text))
     shared.unpersist()
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, codes, learned))
+    shared = spark.sparkContext.broadcast(Sent(_word_model, codes, bits, learned))
     # Rows with the same key have the same doc_id and text, and so the same score.
     keyed = docs.select("doc_id", "held_out", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(7), "text", "doc_id").alias("k2"),
                         F.octet_length("text").cast("long").alias("n_bytes"), "text")
     schema = "doc_id long, held_out boolean, k1 long, k2 long, n_bytes long, n_tokens long, n_rare long, n_known long, base double, score double, rare array<struct<h:long,word:binary,signal:int>>"
-    rows = cut(keyed.mapInArrow(_score_words(shared, bits), schema))
+    rows = cut(keyed.mapInArrow(_score_words(shared), schema))
     shared.unpersist()
     rare = rows.select("k1", "k2", (~F.col("held_out")).alias("taught"), F.explode("rare").alias("r")).select("k1", "k2", "taught", "r.*")
     spelled = rows.where("not held_out").select(F.explode("rare").alias("r")).select("r.word", "r.signal")
     known_bytes = rows.where("not held_out").agg(F.coalesce(F.sum(F.aggregate("rare", F.lit(0).cast("long"), lambda a, r: a + F.octet_length(r["word"]) + 1)), F.lit(0))).first()[0]
     spelling_bits = wc.spelling_bits(known_bytes)
     learned = _learned(spelled, _learn_spelling(spelling_bits), parts(known_bytes, max(LEAST_TASK_TEXT // 8, task_text // 8)))
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, learned))
+    shared = spark.sparkContext.broadcast(Sent(_spelling_model, spelling_bits, learned))
     distinct = rare.groupBy("h", "signal", "taught").agg(F.min("word").alias("word"))
-    priced = distinct.mapInArrow(_score_spelling(shared, spelling_bits), "h long, signal int, taught boolean, spelling double")
+    priced = distinct.mapInArrow(_score_spelling(shared), "h long, signal int, taught boolean, spelling double")
     priced = priced.join(words, "h", "left").select("h", "signal", "taught", "spelling", F.coalesce("c", F.lit(0)).alias("c"))
     of_rows = rare.join(priced, ["h", "signal", "taught"]).groupBy("k1", "k2").agg(
         F.count("*").alias("found"), F.count_if(F.col("c") > 0).alias("seen"), F.sum("spelling").alias("spelling"), F.sum(F.log10(F.col("c") + SMOOTHING)).alias("logs")

@@ -8,6 +8,7 @@ sequence of decisions, each of which context mixing predicts from what stands be
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -72,9 +73,9 @@ def huffman(hashes: np.ndarray, counts: np.ndarray, rare: int, ends: int) -> Cod
     order = np.lexsort((hashes, -counts))
     weight = np.concatenate([[rare, ends], counts[order]]).astype(np.int64)
     n = len(weight)
-    rising = np.argsort(weight, kind="stable").tolist()
-    total = [*weight.tolist(), *[0] * (n - 1)]
-    parent, side = [0] * (2 * n - 1), [0] * (2 * n - 1)
+    rising = array("i", np.argsort(weight, kind="stable").astype(np.int32).tobytes())
+    total = array("q", np.concatenate([weight, np.zeros(n - 1, np.int64)]).tobytes())
+    parent, side = array("i", bytes(4 * (2 * n - 1))), array("b", bytes(2 * n - 1))
     leaf, joined = 0, n
     for node in range(n, 2 * n - 1):
         for which in (0, 1):
@@ -84,7 +85,7 @@ def huffman(hashes: np.ndarray, counts: np.ndarray, rare: int, ends: int) -> Cod
                 child, joined = joined, joined + 1
             parent[child], side[child] = node, which
             total[node] += total[child]
-    total, parent = np.array(total, np.float32), np.array(parent, np.int32)
+    total, parent, side = np.array(total, np.float32), np.array(parent, np.int32), np.array(side, np.int32)
     root = 2 * n - 2
     sibling = np.full(2 * n - 1, root, np.int32)
     pairs = np.argsort(parent[:root], kind="stable").reshape(-1, 2)
@@ -99,7 +100,7 @@ def huffman(hashes: np.ndarray, counts: np.ndarray, rare: int, ends: int) -> Cod
     own = own[rising]
     bits = max(n.bit_length(), 8)
     starts = np.searchsorted(own, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-    return Codes(own, leaves[rising], np.append(starts, len(own)).astype(np.int32), total[:n], 2 * parent + np.array(side, np.int32), rate.reshape(-1), length)
+    return Codes(own, leaves[rising], np.append(starts, len(own)).astype(np.int32), total[:n], 2 * parent + side, rate.reshape(-1), length)
 
 
 class Stream(NamedTuple):
@@ -154,7 +155,7 @@ class WordModel(NamedTuple):
 
 def word_bits(tokens: int, most: tuple[int, ...] = (22, 24, 18, 23, 23)) -> tuple[int, ...]:
     """Table sizes for so many training tokens: they grow with them up to `most`, which bounds what is broadcast."""
-    return tuple(min(max(12, (tokens // share).bit_length()), m) for share, m in zip((16, 4, 64, 8, 8), most, strict=True))
+    return tuple(min(max(12, (tokens // share).bit_length()), m) for share, m in zip((32, 8, 64, 16, 16), most, strict=True))
 
 
 def _level(counts: np.ndarray, low: int, high: int) -> np.ndarray:
