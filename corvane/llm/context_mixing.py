@@ -21,6 +21,8 @@ FIRM = 30.0
 PRIOR = 0.4
 #: Probabilities of a decision stay this far from 0 and 1.
 LEAST = 1e-6
+#: Counts of expectations stay there; a run of texts that is learned at once must not hold so many more of one context.
+LARGE = 30000
 #: Slots of a table that travel as one row.
 SEGMENT = 1 << 16
 #: Parts of one segment that a task adds up.
@@ -58,16 +60,21 @@ class Counts:
         self.bits = bits
         self.data = np.zeros(2 << bits, np.float32) if data is None else data
 
-    def seen(self, slot: np.ndarray, decision: np.ndarray, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The logit of the decision taken, and how much the slot has seen; `left_out` occurrences of the decision don't count."""
-        if self.data.dtype == np.float32:  # both counts are read as one number
-            pair = self.data.view(np.complex64).take(slot, mode="clip").view(np.float32)
-        else:
-            pair = self.data.view(np.uint32).take(slot, mode="clip").view(np.float16).astype(np.float32)
-        zeros, ones = pair[::2], pair[1::2]
+    def seen(self, slot: np.ndarray, turn: np.ndarray, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The logit of a 1 times `turn` (1 or -1, for the decision taken), and how much the slot has seen.
+
+        left_out: for each decision how many zeros and how many ones don't count.
+        """
+        # Both counts are read as one number.
+        pair = self.data.view(np.complex64 if self.data.dtype == np.float32 else np.uint32).take(slot, mode="clip")
+        pair = pair.view(self.data.dtype).astype(np.float32, copy=False)
         if left_out is not None:
-            zeros, ones = np.maximum(zeros - (left_out & (1 - decision)), 0, dtype=np.float32), np.maximum(ones - (left_out & decision), 0, dtype=np.float32)
-        return logit(ones, zeros) * (2 * decision - 1).astype(np.float32), zeros + ones
+            pair -= left_out
+            np.maximum(pair, 0, out=pair)
+        zeros, ones = pair[::2], pair[1::2]
+        seen = zeros + ones
+        pair += np.float32(PRIOR)
+        return np.log(ones / zeros) * turn, seen
 
     def add(self, slot: np.ndarray, decision: np.ndarray) -> None:
         np.add.at(self.data, 2 * slot + decision, np.float32(1))
@@ -86,15 +93,25 @@ class Counts:
 
     @staticmethod
     def assembled(bits: int, segments: list[tuple[int, bytes]]) -> Counts:
-        """A table for reading, in half precision; pairs too large for it are scaled down together."""
-        data = np.zeros(2 << bits, np.float16)
+        """A table for reading, in 16 bits; pairs too large for them are scaled down together."""
+        data = np.zeros(2 << bits, np.uint16)
         for number, part in segments:
             pairs = restored(part).astype(np.float32).reshape(-1, 2)
-            pairs = pairs / np.maximum(1.0, pairs.max(axis=1, keepdims=True) / 60000.0)
+            pairs = np.ceil(pairs / np.maximum(1.0, pairs.max(axis=1, keepdims=True) / 65000.0))
             data[number * 2 * SEGMENT :][: pairs.size] = pairs.reshape(-1)
         return Counts(bits, data)
 
 
+def turned(decision: np.ndarray, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """What `Counts.seen` takes of decisions, and of how many of each don't count."""
+    if left_out is None:
+        return (2 * decision - 1).astype(np.float32), None
+    out = np.empty(2 * len(decision), np.float32)
+    np.multiply(left_out, decision, out=out[1::2], casting="unsafe")
+    np.subtract(left_out, out[1::2], out=out[::2], casting="unsafe")
+    return (2 * decision - 1).astype(np.float32), out
+
+
 class Expected:
     """What followed each context: a slot holds one symbol, and how often it came and how often another."""
 
@@ -130,7 +147,8 @@ class Expected:
         same = stored[slot] == coded
         for counts, at in ((hits, slot[same]), (misses, slot[~same])):
             np.add.at(counts, at, np.uint16(1))
-            counts[at] = np.minimum(counts[at], 60000)
+            if (now := counts[at]).max(initial=0) > LARGE:
+                counts[at] = np.minimum(now, LARGE)
         # A symbol that fails more often than it comes gives its slot up.
         given_up = slot[~same]
         given_up = given_up[misses[given_up] > hits[given_up]]
@@ -159,7 +177,7 @@ class Expected:
             total["symbol"] = np.where(better, symbol, total["symbol"])
         out = np.zeros(len(total["hits"]), Expected.KIND)
         for k in Expected.KIND.names:
-            out[k] = total[k] if k == "symbol" else np.minimum(total[k], 60000)
+            out[k] = total[k] if k == "symbol" else np.minimum(total[k], LARGE)
         return shrunk(out)
 
     @staticmethod

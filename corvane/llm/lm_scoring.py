@@ -21,6 +21,8 @@ from corvane.session import cut
 MOST_LEAVES = 1 << 20
 #: Bytes of text that one learner reads in order: as many as give each core one, within these bounds.
 LEAST_TASK_TEXT, MOST_TASK_TEXT = 8_000_000, 512_000_000
+#: Bytes of text that move a model together, about: few at first, later a share of those read so far, up to a bound.
+FIRST_STEP, STEP_SHARE, STEP_TEXT = 1 << 15, 4, 1 << 20
 #: Tokens whose distinct words are counted together.
 COUNT_TOKENS = 2_000_000
 SMOOTHING = 0.1
@@ -92,11 +94,14 @@ def _rare_column(words: Words, tokens: wc.Stream, first: int, last: int) -> pa.A
 
 def _learn_words(shared: Broadcast, bits: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, model, part = shared.value, wc.WordModel.empty(bits), 0
+        codes, model, part, read = shared.value, wc.WordModel.empty(bits), 0, 0
         for batch in batches:
             part = batch.column("part")[0].as_py()
-            for _, _, words in blocks(batch.column("text")):
+            text = batch.column("text")
+            while len(text):
+                last, words = next((last, words) for _, last, words in blocks(text, min(max(FIRST_STEP, read // STEP_SHARE), STEP_TEXT)))
                 wc.learn_words(codes, model, words)
+                text, read = text.slice(last), read + len(words.data)
         if model.mixers[0].mass.any():
             yield from cm.part_rows(part, model.counts, model.expected, model.mixers)
 
@@ -109,7 +114,7 @@ def _score_words(shared: Broadcast):
         logs = np.log10(codes.counts.astype(np.float64) + SMOOTHING)
         for batch in batches:
             taught = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-            for first, last, words in blocks(batch.column("text")):
+            for first, last, words in blocks(batch.column("text"), STEP_TEXT):
                 tokens, score = wc.score_words(codes, words_model, words, taught[first:last])
                 n, row = last - first, tokens.row
                 known = tokens.leaf != wc.RARE

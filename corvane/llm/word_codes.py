@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-from corvane.llm.context_mixing import Counts, Expected, Mixer, logit, slots_of
+from corvane.llm.context_mixing import Counts, Expected, Mixer, logit, slots_of, turned
 from corvane.llm.wordhash import Words, mix
 
 #: Leaves of the tree that aren't words.
@@ -153,9 +153,9 @@ class WordModel(NamedTuple):
         return WordModel([Counts(b) for b in bits[:3]], [Expected(b) for b in bits[3:]], [Mixer(TREE_GATES, TREE_PREDICTORS), Mixer(WORD_GATES, WORD_PREDICTORS)])
 
 
-def word_bits(tokens: int, most: tuple[int, ...] = (22, 24, 18, 23, 23)) -> tuple[int, ...]:
+def word_bits(tokens: int, most: tuple[int, ...] = (21, 23, 18, 22, 22)) -> tuple[int, ...]:
     """Table sizes for so many training tokens: they grow with them up to `most`, which bounds what is broadcast."""
-    return tuple(min(max(12, (tokens // share).bit_length()), m) for share, m in zip((32, 8, 64, 16, 16), most, strict=True))
+    return tuple(min(max(16, (tokens // share).bit_length()), m) for share, m in zip((64, 16, 64, 32, 32), most, strict=True))
 
 
 def _level(counts: np.ndarray, low: int, high: int) -> np.ndarray:
@@ -195,10 +195,10 @@ def _expectations(model: WordModel, tokens: Stream, left_out: np.ndarray) -> tup
         named = ((symbol.astype(np.uint64) * np.uint64(2) + np.uint64(which)) * np.uint64(3) + run.astype(np.uint64)) | np.uint64(1 << 40)
         slots = [slots_of(mix(key), np.uint64(which + 1), table.bits) for key in (record, named)]
         logits = np.empty((WORD_PREDICTORS, len(at)), np.float32)
-        turn = (2 * taken - 1).astype(np.float32)
+        turn, minus = turned(taken, left_out[at])
         logits[0] = turn * logit(hits.astype(np.float32), misses.astype(np.float32))
         for k, slot in enumerate(slots):
-            logits[1 + k], _ = table.seen(slot, taken, left_out[at])
+            logits[1 + k], _ = table.seen(slot, turn, minus)
         gate = (np.uint8(which * 3) + run) * np.uint8(3) + _level(hits, 2, 5)
         out.append(Decisions(at, logits, gate, tuple((table, slot) for slot in slots), taken))
         open_[at[taken == 1]] = False
@@ -224,10 +224,11 @@ def _tree_decisions(codes: Codes, model: WordModel, tokens: Stream, at: np.ndarr
         side, parent = (up & 1).astype(np.int64), up >> 1
         wide = parent.astype(np.uint64) + np.uint64(1)
         logits, gate, slots = np.empty((TREE_PREDICTORS, n), np.float32), np.zeros(n, np.uint8), []
+        turn, minus = turned(side, out[:n] if in_tables else None)
         codes.rate.take(2 * node + out[:n], out=logits[0], mode="clip")
         for k, (table, context) in enumerate(zip(model.counts, contexts, strict=False)):
             slot = slots_of(context[:n], wide, table.bits)
-            logits[1 + k], seen = table.seen(slot, side, out[:n] if in_tables else None)
+            logits[1 + k], seen = table.seen(slot, turn, minus)
             gate = gate * np.uint8(3) + _level(seen, *((8, 64), (1, 8))[k])
             slots.append((table, slot))
         yield Decisions(at[:n], logits, gate, tuple(slots), side)
@@ -300,9 +301,10 @@ def _spelling_decisions(model: SpellingModel, byte: np.ndarray, contexts: np.nda
         node = (np.uint64(1) << np.uint64(bit)) | (byte.astype(np.uint64) >> np.uint64(8 - bit))
         side = ((byte >> (7 - bit)) & 1).astype(np.int64)
         logits, slots, levels = np.empty((len(model.counts), len(byte)), np.float32), [], []
+        turn, minus = turned(side, left_out)
         for k, (table, context) in enumerate(zip(model.counts, contexts, strict=True)):
             slot = slots_of(context, node, table.bits)
-            logits[k], seen = table.seen(slot, side, left_out)
+            logits[k], seen = table.seen(slot, turn, minus)
             slots.append(slot)
             if k in SPELLING_LEVELS:
                 levels.append(_level(seen, 2, 16) + (seen >= 128))

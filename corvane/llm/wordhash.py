@@ -51,15 +51,15 @@ class Words(NamedTuple):
     rows: np.ndarray  # rows[i] .. rows[i + 1] are the words of the block's row i
 
 
-def blocks(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
-    """(first row, row after the last, their words) for runs of about BLOCK_BYTES; null counts as empty."""
+def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, Words]]:
+    """(first row, row after the last, their words) for runs of about `size` bytes; null counts as empty."""
     column = column.fill_null("").cast(pa.large_string())
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         last = min(last, len(column))
         cuts = offsets[first : last + 1] - offsets[first]
         yield first, last, _words(_LOWER[data[offsets[first] : offsets[last]]], cuts)
