@@ -82,10 +82,10 @@ def calibration(labelled: DataFrame, cell: Sequence[str], seconds: str = "durati
 
 
 def source_changes(decided: DataFrame, now: DataFrame) -> DataFrame:
-    """Errors where a source's hash isn't what was scored. decided: audio, source_sha256, status, reasons; now: audio, sha256."""
+    """Errors where a source's hash isn't what was scored; a record that has an error keeps its own. decided: audio, source_sha256, status, reasons; now: audio, sha256."""
     both = decided.join(now.select(F.col("audio").alias("_a"), F.col("sha256").alias("_now")), F.col("audio") == F.col("_a"), "left")
     why = F.when(F.col("_now").isNull(), "source_unavailable_since_scoring").when(F.col("_now") != F.col("source_sha256"), "source_changed_since_scoring")
-    changed = why.isNotNull()
+    changed = why.isNotNull() & (F.col("status") != "error")
     return both.withColumn("reasons", F.when(changed, F.array(why)).otherwise(F.col("reasons"))).withColumn(
         "status", F.when(changed, "error").otherwise(F.col("status"))
     ).select(*decided.columns)

@@ -50,7 +50,7 @@ NORMAL = r"trim(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}\p{{M}}]+', ' ', 'g'
 def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The tables' texts are in compatibility form already, so no Python is needed.
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", text.normalize(F.col("text"), compose=False).alias("normalized"))
+    return docs.select("doc_id", text.normalize(F.col("text")).alias("normalized"))
 
 
 PAIRS = """
@@ -62,7 +62,7 @@ PAIRS = """
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn of a conversation with the next, as reference and hypothesis."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.normalize(F.col("text"), compose=False).alias("ref"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.normalize(F.col("text")).alias("ref"))
     pairs = turns.withColumn("hyp", F.lead("ref").over(W.partitionBy("conv_id").orderBy("turn")))
     return pairs.where(F.col("hyp").isNotNull() & (F.col("ref") != ""))
 
@@ -146,7 +146,7 @@ DECISIONS = _decision_sql()
 def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy.validate_policy(POLICY, LANGUAGES)
     rows = _records(spark, sf_dir)
-    found = policy.decision(POLICY, {c: F.col(c) for c in rows.columns}, text.kept(F.col("text"), compose=False))
+    found = policy.decision(POLICY, {c: F.col(c) for c in rows.columns}, text.kept(F.col("text")))
     return rows.withColumn("d", found).select("doc_id", "text", "language", "kind", "duration_s", "d.status", "d.reasons")
 
 
@@ -194,7 +194,7 @@ def profile_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ok_stages": F.array_compact(F.array(F.when(id_ % 13 != 0, "asr"), F.when(id_ % 5 != 0, "alignment_qwen"))),
         "alignment_status": F.when(id_ % 19 == 0, "review").otherwise("ok"),
     }
-    found = policy.profile_decision(PROFILE, "asr", columns, text.kept(F.col("text"), compose=False))
+    found = policy.profile_decision(PROFILE, "asr", columns, text.kept(F.col("text")))
     return rows.withColumn("d", found).select("doc_id", "d.status", F.array_join("d.reasons", ",").alias("reasons"))
 
 

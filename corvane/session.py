@@ -24,10 +24,11 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package: a zip goes to the executors unless they find the folder themselves."""
+    """Let Python workers import this package: a zip goes to the executors, or with a local master to workers that don't find the folder."""
     context, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root in known or os.getcwd() == root or getattr(context, "_corvane_shipped", False):
+    found = context.master.startswith("local") and (root in known or os.getcwd() == root)
+    if found or getattr(context, "_corvane_shipped", False):
         return
     archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "corvane"), "zip", root, "corvane")
     context.addPyFile(archive)
@@ -46,11 +47,13 @@ def text_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; set a local folder only where none is set."""
+    """Use the cluster's spark.checkpoint.dir; with a local master, and only there, a local folder where none is set."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "corvane-checkpoints"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import dsp, numeric, text
 from corvane.functions.hashing import canonical, seeded, split, threshold
+from corvane.sources import audio
 
 
 def one(spark, column, **values):
@@ -89,8 +90,12 @@ def test_signals_and_windows():
 def test_ctc_is_optimal():
     assert dsp.ctc_viterbi(np.zeros((3, 2)), [1, 1]) == [0, -1, 1]
     assert dsp.ctc_viterbi(np.zeros((2, 2)), [1, 1]) is None
+    assert dsp.ctc_viterbi(np.zeros((3, 2)), []) is None
+    for scores, tokens in ((np.full((3, 2), np.nan), [1]), (np.zeros((3, 2)), [0]), (np.zeros((3, 2)), [2])):
+        with pytest.raises(ValueError):
+            dsp.ctc_viterbi(scores, tokens)
     rng = np.random.default_rng(0)
-    for tokens in ([1], [1, 2], [1, 1], [2, 1]):
+    for tokens in ([1], [1, 2], [1, 2, 1, 2, 1], [2, 2, 1], [1, 1], [2, 1]):
         scores = dsp.log_softmax(rng.normal(size=(5, 3)))
 
         def fits(path, tokens=tokens):
@@ -114,3 +119,26 @@ def test_fbank_shape_and_floor():
     features = dsp.fbank(np.sin(np.arange(16_000) * 0.1))
     assert features.shape == (101, 80) and features.min() >= features.max() - 80
     assert np.allclose(dsp.mean_normalize(features).mean(axis=0), 0)
+
+
+def test_word_errors_around_the_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(text, "_FIRST", 0xD7F0)
+    many = " ".join(f"w{i}" for i in range(60))
+    row = spark.createDataFrame([(many, many + " more")], "r string, h string")
+    assert row.select(text.wer(F.col("r"), F.col("h"))).first()[0] == 1 / 60
+
+
+@pytest.mark.parametrize("rate", [44_100, 48_000])
+def test_resampling_keeps_low_tones_and_stops_high_ones(tmp_path, rate):
+    seconds = 21
+    for hz, level in ((1000, 0.5), (15_000, 0.0)):
+        path = str(tmp_path / f"{hz}.wav")
+        audio.write_wav(path, 0.5 * np.sin(2 * np.pi * hz * np.arange(seconds * rate) / rate), rate)
+        blocks = list(audio.stream(path, block=160_000))
+        assert [len(b) for b in blocks] == [160_000, 160_000, 16_000]
+        whole = np.concatenate(blocks)
+        want = level * np.sin(2 * np.pi * hz * np.arange(len(whole)) / 16_000)
+        assert np.abs(whole - want)[200:-200].max() < 0.01
+        clip, own, _ = audio.cut(path, 2.0, 3.0)
+        assert own == rate and abs(np.abs(clip).max() - 0.5) < 0.01
+    assert audio._resample(np.zeros(0), 48_000).size == 0
