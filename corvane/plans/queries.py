@@ -424,8 +424,10 @@ def fbank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ctc_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     def of(clip):
         logits = clip[: len(clip) // 5 * 5].reshape(-1, 5)
-        path = dsp.ctc_viterbi(dsp.log_softmax(logits * 50), [1, 2, 2, 3])
-        return len(path), float(sum(k >= 0 for k in path))
+        scores, tokens = dsp.log_softmax(logits * 50), [1, 2, 2, 3]
+        path = np.array(dsp.ctc_viterbi(scores, tokens))
+        # A repeated clip has equal paths; their score is the same whichever is taken.
+        return len(path), float(scores[np.arange(len(path)), np.where(path >= 0, np.take(tokens, path), 0)].sum())
 
     return _clips(spark, sf_dir, of)
 
