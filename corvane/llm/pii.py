@@ -14,7 +14,7 @@ from corvane.llm.common import require
 from corvane.session import text_batches
 
 #: Kinds in the order of a document's span list; the first four are the base kinds.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "account", "login_url")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "account", "login_url", "secret")
 TAGS = {k: f"[{k.upper()}]" for k in KINDS}
 
 _DIGITS = "0123456789"
@@ -29,6 +29,17 @@ _BREAK = frozenset(" \t\n\v\f\r<>\"'`")
 ACCOUNT_CUES = ("account", "Account", "ACCOUNT", "acct", "Acct", "konto", "Konto", "compte", "Compte", "cuenta", "Cuenta")
 SSN_CUES = ("SSN", "ssn", "social security", "Social Security")
 
+#: Names of secrets, each also capitalised and in capitals: a value follows after a sign of assignment (after `bearer` a space will do).
+SECRET_CUES = ("token", "key", "secret", "passwd", "password", "pwd", "passphrase", "credential", "bearer")
+#: Those whose values may be short.
+SHORT_CUES = ("passwd", "password", "pwd", "passphrase")
+#: Beginnings of secrets that need no name, with the least characters that follow.
+SECRET_STARTS = {"AKIA": 16, "ASIA": 16, "ghp_": 30, "gho_": 30, "ghs_": 30, "glpat-": 16, "xoxb-": 20, "xoxp-": 20, "sk-": 20, "eyJ": 30}
+KEY_BLOCK, KEY_END = "-----BEGIN ", " PRIVATE KEY-----"
+
+_VALUE = _ALNUM | frozenset("+/_-.~")
+_NAME = _ALNUM | frozenset("_-")
+
 
 def _automaton() -> ahocorasick.Automaton:
     """Anchors and what they announce; the value's length tells where the anchor starts."""
@@ -36,6 +47,9 @@ def _automaton() -> ahocorasick.Automaton:
     anchors = {"@": "at", "://": "scheme", "IBAN": "iban"}
     anchors |= {d: "digit" for d in _DIGITS} | {"+" + d: "plus" for d in _DIGITS}
     anchors |= dict.fromkeys(ACCOUNT_CUES, "account") | dict.fromkeys(SSN_CUES, "ssn")
+    for cue in SECRET_CUES:
+        anchors |= dict.fromkeys((cue, cue.capitalize(), cue.upper()), "secret")
+    anchors |= dict.fromkeys(SECRET_STARTS, "start") | {KEY_BLOCK: "block"}
     for anchor, kind in anchors.items():
         found.add_word(anchor, (kind, len(anchor)))
     found.make_automaton()
@@ -155,10 +169,75 @@ def login_url_at(text: str, colon: int) -> tuple[int, int] | None:
     return start, i
 
 
+def secret_after(text: str, cue: str, i: int) -> tuple[int, int] | None:
+    """The value given to a name that ends in `cue` and at most 16 more name characters, from `i` on, in quotes or bare.
+
+    A value holds no white space and at least one digit, and has 12 characters or more (a password 6; in quotes it
+    needs no digit). Bare values are letters, digits and +/_-.~ with closing equals signs.
+    """
+    n, stop, cue = len(text), i + 16, cue.lower()
+    while i < n and i < stop and text[i] in _NAME:
+        i += 1
+    if i < n and text[i] in "\"'":
+        i += 1
+    at = i
+    while i < n and i < at + 4 and text[i] in " \t":
+        i += 1
+    if i < n and text[i] in "=:":
+        i += 1
+        while i < n and text[i] in "=:>" and i < at + 8:
+            i += 1
+    elif cue != "bearer" or i == at:
+        return None
+    at = i
+    while i < n and i < at + 4 and text[i] in " \t":
+        i += 1
+    if cue != "bearer" and text[i : i + 7].lower() == "bearer ":
+        i += 7
+    quote = text[i : i + 1] if text[i : i + 1] in ("\"", "'", "`") else ""
+    start = end = i + len(quote)
+    while end < n and (text[end] != quote and text[end] not in _BREAK if quote else text[end] in _VALUE):
+        end += 1
+    if quote and text[end : end + 1] != quote:
+        return None
+    if not quote:
+        while end < n and text[end] == "=":
+            end += 1
+        while end > start and text[end - 1] in ".~-":  # a sentence's end, not the value's
+            end -= 1
+    short = cue in SHORT_CUES
+    digit = any(c in _DIGIT for c in text[start:end])
+    return (start, end) if end - start >= (6 if short else 12) and (digit or short and quote) else None
+
+
+def secret_from(text: str, start: int, i: int, least: int) -> tuple[int, int] | None:
+    """A secret that its beginning (from `start` to `i`) tells, if that begins a word and at least `least` characters with a digit follow."""
+    n, end = len(text), i
+    while end < n and text[end] in _VALUE:
+        end += 1
+    while end > i and text[end - 1] in ".~-":
+        end -= 1
+    begins = start == 0 or text[start - 1] not in _NAME
+    return (start, end) if begins and end - i >= least and any(c in _DIGIT for c in text[i:end]) else None
+
+
+def key_block(text: str, start: int) -> tuple[int, int] | None:
+    """A private key with its frame; one that isn't closed ends with its base64 lines."""
+    head = text.find(KEY_END, start, start + 40)
+    if head < 0:
+        return None
+    n, i = len(text), head + len(KEY_END)
+    while i < n and (text[i] in _ALNUM or text[i] in "+/= \r\n\t\\"):
+        i += 1
+    if text.startswith("-----END ", i) and (close := text.find(KEY_END, i, i + 40)) >= 0:
+        i = close + len(KEY_END)
+    return start, i
+
+
 def find_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind index, start, end) in span-list order; the base kinds are leftmost and do not overlap within a kind."""
     spans: list[tuple[int, int, int]] = []
-    email_floor = url_end = card_end = ip_end = phone_end = 0
+    email_floor = url_end = card_end = ip_end = phone_end = secret_end = 0
     for last, (kind, length) in _ANCHORS.iter(text):
         if kind == "digit":
             # The first digit of a chain announces it; the digits that follow are inside.
@@ -193,6 +272,19 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
         elif kind == "account":
             if found := number_after(text, last + 1, 6, 17, "-"):
                 spans.append((6, *found))
+        elif kind == "secret":
+            if last >= secret_end and (found := secret_after(text, text[last + 1 - length : last + 1], last + 1)):
+                secret_end = found[1]
+                spans.append((8, *found))
+        elif kind == "start":
+            start = last + 1 - length
+            if start >= secret_end and (found := secret_from(text, start, last + 1, SECRET_STARTS[text[start : last + 1]])):
+                secret_end = found[1]
+                spans.append((8, *found))
+        elif kind == "block":
+            if last >= secret_end and (found := key_block(text, last + 1 - length)):
+                secret_end = found[1]
+                spans.append((8, *found))
         elif last >= url_end and (found := login_url_at(text, last - 2)):
             url_end = found[1]
             spans.append((7, *found))
@@ -247,7 +339,11 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digest(documents: DataFrame) -> DataFrame:
-    """Per document the counts of the base kinds, the hash of the base spans and all spans as text."""
+    """Per document the counts of the base kinds, the hash of the base spans and all spans as text.
+
+    Null and empty texts: counts 0, the hash of nothing, empty spans. Repeated rows and null doc_id: a row each. Whole texts
+    of any length; extra columns are left aside; no documents give no rows. Equal spans of a kind are given once.
+    """
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
     return find(documents).select("doc_id", "spans").mapInArrow(_digest, schema)
 
@@ -260,7 +356,11 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scrub(documents: DataFrame) -> DataFrame:
-    """documents with every span replaced by its kind's tag; n_chars, where present, follows the new text."""
+    """documents with every span replaced by its kind's tag; n_chars, where present, follows the new text.
+
+    Null and empty texts stay, as do all other columns, whatever their names; each row is scrubbed by itself, repeated ones and those
+    without doc_id too. Overlapping spans give one tag, that of the first, of equal starts the longest. No documents: no rows.
+    """
     text_batches(documents.sparkSession)
     out = documents.mapInArrow(_redacted, documents.schema)
     if "n_chars" in documents.columns:
