@@ -111,7 +111,8 @@ def mix(
     source, largest documents first, the fractional parts of the rates are accumulated and a copy falls where
     the sum passes a whole number, so errors cancel between documents of like size. While a source is off by
     more than `closeness` of its target, the one document whose copy more or less helps most is changed, at
-    most `max_fixes` times (large sources need none).
+    most `max_fixes` times (large sources need none). Newton steps end at `balance`'s `tolerance` or after its `max_rounds`; copies
+    are set right either way. A source whose documents are all too large to come nearer stays off by less than its smallest one.
 
     A hot source is cut into many runs; what passes one task is one row per source. Null source: a source
     of its own, last. Null or empty text: size 0, rate 0. Repeated rows: each is a document. Ties: by doc_id.
@@ -185,7 +186,8 @@ def expand(documents: DataFrame, **options) -> DataFrame:
 
     Copies belong to doc_id, source and size; rows that share all three, and only these, are told apart by the
     order of their texts. All others meet their number of copies in one join, without a shuffle of the texts
-    while there are at most MOST_BROADCAST_ROWS numbers.
+    while there are at most MOST_BROADCAST_ROWS numbers. Null or empty text: no copies. Null doc_id or source:
+    as any other value. All columns are kept, whatever their names. No documents: no rows.
     """
     plan = mix(documents, **options)
     names = {"doc_id": "_mix_id", "source": "_mix_source", "size": "_mix_size"}
@@ -198,15 +200,15 @@ def expand(documents: DataFrame, **options) -> DataFrame:
     same_plan = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in short]
     dealt = plan.alias("a").join(several.alias("b"), reduce(and_, same_plan), "left_semi").withColumn("_mix_turn", turn)
 
-    rows = documents.withColumn("_size", words(F.col("text")))
-    here = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip([*key[:2], "_size"], short, strict=True)]
+    # A row's columns stay together, so that their names clash with none here.
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole")
+    rows = documents.select(whole, *key[:2], words(F.col("text")).alias("size"))
+    here = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(key, short, strict=True)]
     few = plan.count() <= MOST_BROADCAST_ROWS
     small = F.broadcast if few else lambda df: df
     alone = rows.join(small(single), reduce(and_, here))
-    order = F.row_number().over(W.partitionBy("doc_id", "source", "_size").orderBy("text"))
+    order = F.row_number().over(W.partitionBy(*key).orderBy("whole.text"))
     shared = rows.join(small(several), reduce(and_, here), "left_semi").withColumn("_turn", order)
     shared = shared.join(dealt, reduce(and_, [*here, F.col("_turn") == F.col("_mix_turn")])).where("_mix_copies > 0")
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    taken = alone.select(*columns, "_mix_copies").unionByName(shared.select(*columns, "_mix_copies"))
-    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-    return copies.select(*columns)
+    taken = alone.select("whole", "_mix_copies").unionByName(shared.select("whole", "_mix_copies"))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))).select("whole.*")

@@ -18,8 +18,8 @@ from corvane.session import cut
 
 #: A signature: so many symbols of sixteen bits, one of each MinHash function.
 SYMBOLS, BITS = 64, 16
-#: Linked pairs that may have signatures farther apart than `distance_for` allows.
-MISSED = 5e-5
+#: The share of linked pairs, of the least likeness that is linked, whose signatures may be farther apart than `distance_for` allows.
+MISSED = 1e-7
 #: Ids that are broadcast to pick rows from the corpus (16 bytes each); above, the rows are joined by shuffle.
 MOST_BROADCAST_IDS = 2_000_000
 
@@ -40,10 +40,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mix(least) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
-def distance_for(percent: int) -> int:
-    """The least distance that all but MISSED of the pairs of this likeness keep (more alike pairs, more of them)."""
+def distance_for(percent: int, missed: float = MISSED) -> int:
+    """The least distance that all but `missed` of the pairs of this likeness keep (more alike pairs, more of them).
+
+    missed=0: every distance but that of signatures without one common symbol, which linked pairs have once in 1e52.
+    """
     p, above, d = 1 - percent / 100, 1.0, -1
-    while above > MISSED:
+    while above > missed and d < SYMBOLS - 1:
         d += 1
         above -= comb(SYMBOLS, d) * p**d * (1 - p) ** (SYMBOLS - d)
     return d
@@ -105,9 +108,9 @@ def differing(a: Column, b: Column) -> Column:
     return sum((of(i) for i in range(1, SYMBOLS * BITS // 64)), of(0))
 
 
-def _near(percent: int) -> Column:
+def _near(percent: int, distance: int) -> Column:
     sizes = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    return sizes & (differing(F.col("sa"), F.col("sb")) <= distance_for(percent))
+    return sizes & (differing(F.col("sa"), F.col("sb")) <= distance)
 
 
 def _confirm(percent: int):
@@ -183,7 +186,7 @@ def _links_within(percent: int, distance: int):
     return run
 
 
-def components(documents: DataFrame, percent: int = 80) -> DataFrame:
+def components(documents: DataFrame, percent: int = 80, missed: float = MISSED) -> DataFrame:
     """Classes of near duplicates among documents (doc_id, text).
 
     Documents are linked if their sets of 5-word shingles (words A-Z lower-cased) share at least `percent`
@@ -193,7 +196,8 @@ def components(documents: DataFrame, percent: int = 80) -> DataFrame:
     family's texts meet in tasks of bounded size that confirm links on full sets and give no more of them than
     join its components. Pairs under a key from different families are compared in a join that gives only
     those near by signature, and confirmed on full sets too. So no pair is left out that the signatures admit,
-    and what is written for a group of copies grows with its size, not its square.
+    and what is written for a group of copies grows with its size, not its square. Signatures admit all but
+    `missed` of the pairs that are just alike enough; missed=0 admits all, and compares many more pairs for it.
 
     Null, empty or blank text: no shingles, linked with nothing. Fewer than five words: one shingle of all.
     Repeated rows fall together; a doc_id with several texts is one document with the links of all. Null
@@ -201,7 +205,7 @@ def components(documents: DataFrame, percent: int = 80) -> DataFrame:
     Returns doc_id, n_shingles, component_id, kept.
     """
     docs = require(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    distance = distance_for(percent)
+    distance = distance_for(percent, missed)
     schema = "doc_id long, n_shingles long, h1 long, h2 long, signature array<long>"
     sketches = cut(docs.mapInArrow(_sketch, schema))
     same = sketches.where("n_shingles > 0").groupBy("h1", "h2").agg(
@@ -216,7 +220,7 @@ def components(documents: DataFrame, percent: int = 80) -> DataFrame:
     hubs = members.join(company, "node").groupBy("key").agg(F.max_by("node", F.struct("company", -F.col("node"))).alias("hub"))
     stars = members.join(hubs, "key").where("node <> hub").select(F.least("node", "hub").alias("b"), F.greatest("node", "hub").alias("a")).distinct()
     signs = lambda id_, n, s: nodes.select(F.col("node").alias(id_), F.col("n").alias(n), F.col("signature").alias(s))
-    near = stars.join(signs("a", "na", "sa"), "a").join(signs("b", "nb", "sb"), "b").where(_near(percent)).select("a", "b")
+    near = stars.join(signs("a", "na", "sa"), "a").join(signs("b", "nb", "sb"), "b").where(_near(percent, distance)).select("a", "b")
     family = connected_components(near).select("node", F.col("component").alias("family"))
     placed = cut(nodes.join(family, "node"))
     parts_ = F.greatest(F.ceil(F.count("*") / PART_DOCUMENTS), F.ceil(F.sum("n") / PART_SHINGLES)).cast("int")
@@ -237,7 +241,7 @@ def components(documents: DataFrame, percent: int = 80) -> DataFrame:
     rest = named.join(open_, "key").join(nodes, "node")
     left = rest.select("key", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("signature").alias("sa"))
     right = rest.select("key", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
-    across = left.join(right, (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & _near(percent))
+    across = left.join(right, (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & _near(percent, distance))
     found = connected_components(within.unionByName(confirmed(across.select("a", "b"), docs, percent)))
     classes = same.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class"))
     # A doc_id with several texts has one class: its texts are one node.
@@ -248,17 +252,18 @@ def components(documents: DataFrame, percent: int = 80) -> DataFrame:
     )
 
 
-def drop_near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
+def drop_near_duplicates(documents: DataFrame, percent: int = 80, missed: float = MISSED) -> DataFrame:
     """documents without those that their class's first document stands for; repeated rows stay once.
 
-    Rows with null doc_id stay as they are.
+    Null, empty and blank texts are like no other and stay; of several texts of one doc_id the first stays.
+    Rows with null doc_id stay as they are. All columns are kept, whatever their names. No documents: no rows.
     """
-    kept = components(documents, percent).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = cut(kept)
+    kept = components(documents, percent, missed).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = cut(kept.withColumnRenamed("doc_id", "kept_id"))
     few = kept.count() <= MOST_BROADCAST_IDS
-    chosen = documents.join(F.broadcast(kept) if few else kept, "doc_id")
-    first = W.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    repeated = chosen.where("_rows > 1").withColumn("_turn", F.row_number().over(first)).where("_turn = 1")
-    names = [F.col(f"`{c}`") for c in documents.columns]
-    parts = [chosen.where("_rows = 1").select(*names), repeated.select(*names), documents.where("doc_id is null")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole"))
+    chosen = whole.join(F.broadcast(kept) if few else kept, F.col("whole.doc_id") == F.col("kept_id"))
+    first = W.partitionBy("kept_id").orderBy(F.col("whole.text").asc_nulls_last())
+    repeated = chosen.where("rows > 1").withColumn("turn", F.row_number().over(first)).where("turn = 1")
+    parts = [chosen.where("rows = 1"), repeated, whole.where("whole.doc_id is null")]
+    return parts[0].select("whole.*").unionByName(parts[1].select("whole.*")).unionByName(parts[2].select("whole.*"))

@@ -139,6 +139,20 @@ def test_mixing(spark):
     assert got == collections.Counter({k: n for k, n in collections.Counter((r["doc_id"], r["source"], r["size"]) for r in found for _ in range(r["copies"])).items()})
 
 
+def test_mixing_of_many_sources_and_numbers(spark, monkeypatch):
+    """The branches that join by shuffle give what the broadcasts give; columns of every helper's name stay."""
+    table, _ = documents(spark, 120)
+    table = table.withColumn("_size", F.lit(77)).withColumn("size", F.lit("s")).withColumn("whole", F.lit(1)).withColumn("_turn", F.lit(2))
+    key = lambda r: tuple(map(str, r))
+    want = sorted(map(key, mixing.expand(table, cell_rows=50).collect()))
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "MOST_BROADCAST_ROWS", 0)
+    out = mixing.expand(table, cell_rows=50)
+    assert out.columns == table.columns
+    found = out.collect()
+    assert sorted(map(key, found)) == want and all((r["_size"], r["size"], r["whole"], r["_turn"]) == (77, "s", 1, 2) for r in found)
+
+
 def test_tilts_solve_the_dual(spark):
     rng = np.random.default_rng(4)
     sizes = rng.integers(1, 4000, 300)

@@ -224,6 +224,40 @@ def test_near_duplicates(spark, percent, monkeypatch):
     assert ids == sorted({c for _, c in want.values()})
 
 
+def test_no_link_is_lost_at_the_threshold(spark, monkeypatch):
+    """Pairs alike by exactly 85 % or just below, and ids joined by shuffle; columns of every helper's name stay."""
+    monkeypatch.setattr(near_duplicates, "MOST_BROADCAST_IDS", 0)
+    rng = random.Random(12)
+    rows = []
+    for k in range(20):
+        # 37 distinct words have 33 shingles; another last word changes one, three other last words three: 30 / 36 and 32 / 34.
+        base = [f"w{k}x{rng.randint(0, 10**9)}" for _ in range(37)]
+        for change, text in enumerate((base, [*base[:-1], "z"], [*base[:-3], "x", "y", "z"])):
+            rows.append((3 * k + change, " ".join(text)))
+        # 189 words: 185 shingles, of which 15 change: 170 / 200 is 85 %; 16 are too many.
+        long = [f"v{k}x{rng.randint(0, 10**9)}" for _ in range(189)]
+        for change in (0, 15, 16):
+            rows.append((1000 + 20 * k + change, " ".join([*long[: 189 - change], *[f"u{k}x{change}x{i}" for i in range(change)]])))
+    want = brute_components(rows, 85)
+    assert want[1015][1] == 1000 and want[1016][1] != 1000 or want[1016][1] == want[1015][1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for missed in (near_duplicates.MISSED, 0):
+        found = near_duplicates.components(docs, 85, missed).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+    more = docs.select("*", *[F.col("doc_id").alias(c) for c in ("rows", "turn", "whole", "_rows", "kept_id", "node")])
+    stay = near_duplicates.drop_near_duplicates(more, 85)
+    assert stay.columns == more.columns
+    assert sorted(r["doc_id"] for r in stay.collect() if r["_rows"] == r["doc_id"] == r["whole"]) == sorted({c for _, c in want.values()})
+
+
+def test_near_duplicates_of_very_long_and_repeated_texts(spark):
+    rng = random.Random(13)
+    long = [f"t{rng.randint(0, 10**6)}" for _ in range(60_000)]
+    rows = [(5, " ".join(long)), (3, " ".join([*long[:-1], "end"])), (4, "z" * 500_000), (4, "z" * 500_000), (6, None), (7, "short text of five words")]
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates.components(spark.createDataFrame(rows, "doc_id long, text string"), 85).collect()}
+    assert found == {5: 3, 3: 3, 4: 4, 6: 6, 7: 7}
+
+
 def test_keys_cover_the_distance():
     rng = np.random.default_rng(1)
     for percent in (80, 85, 95):
