@@ -122,8 +122,8 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, group_pieces: int = GRO
     """Pack every document (doc_id, text) into sequences of at most `capacity` ids.
 
     A document's ids end with END_ID and are cut every `capacity` ids. Each piece joins a group chosen by a
-    seeded hash, and each group is packed by first-fit decreasing in one task of about `group_pieces`
-    pieces. Only integers are shuffled, never texts.
+    seeded hash, and each group is packed by first-fit decreasing in one task of at most about `group_pieces`
+    pieces, however long the documents are. Only integers are shuffled, never texts.
 
     Null or empty text: the single id END_ID. Null doc_id: packed like any other. Repeated rows: each row
     is packed; equal pieces differ in `turn` for the grouping, so a doc_id that many rows share does not
@@ -131,7 +131,9 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, group_pieces: int = GRO
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     """
     docs = require(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    groups = parts(docs.count(), group_pieces)
+    # An id stands for a byte at least, so there are no more pieces than this.
+    most = F.count("*") + F.coalesce(F.sum(F.floor(F.octet_length("text") / capacity)), F.lit(0))
+    groups = parts(int(docs.agg(most).first()[0]), group_pieces)
     pieces = docs.mapInArrow(lambda it: tokenize_pieces(it, capacity), PIECES + ", turn long")
     key = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "turn"), F.lit(groups))
     return (

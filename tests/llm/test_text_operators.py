@@ -169,6 +169,17 @@ def test_packing_round_trip(spark):
     assert all(sum(n for _, n in p) <= 2048 for p in at.values())
 
 
+def test_long_documents_fill_several_groups(spark):
+    rng = random.Random(14)
+    docs = spark.createDataFrame([(i, prose(rng, "en", 6000)) for i in range(4)] + [(4, None)], "doc_id long, text string")
+    found = packing.pack(docs, capacity=64, group_pieces=100).collect()
+    groups = collections.Counter(r["sequence_id"] >> 24 for r in found)
+    assert len(groups) > 2 and max(groups.values()) <= 200
+    for i in range(5):
+        cuts = sorted((r["start"], r["length"]) for r in found if r["doc_id"] == i)
+        assert [a for a, _ in cuts] == [sum(n for _, n in cuts[:k]) for k in range(len(cuts))] and sum(n for _, n in cuts) == next(r["doc_tokens"] for r in found if r["doc_id"] == i)
+
+
 def test_language(spark):
     rows = [*corpus(200), (900, None, "en", "s"), (901, "", "en", "s"), (902, "12 !? ²", None, "s"), (903, "schungverich", None, "s")]
     found = {r["doc_id"]: r for r in language.learn_and_identify(frame(spark, rows).withColumn("score", F.lit(1))).collect()}
