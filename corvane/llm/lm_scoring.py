@@ -184,7 +184,7 @@ def score(documents: DataFrame, most_leaves: int = MOST_LEAVES) -> DataFrame:
     that it gave itself, so that its score is comparable with those of held-out texts.
 
     Texts are never shuffled, only counts of distinct words, parts of tables, and words without a leaf. Tables
-    grow with the training tokens up to a bound (`word_bits`, `spelling_bits`: about 270 MB a worker); past that more
+    grow with the training tokens up to a bound (`word_bits`, `spelling_bits`: at most about 250 MB a worker with the code); past that more
     contexts share a slot. Exact counts of words grow without a bound.
 
     Null or empty text: the end mark alone. Null doc_id: as an empty id in the choice of held-out rows.

@@ -153,9 +153,9 @@ class WordModel(NamedTuple):
         return WordModel([Counts(b) for b in bits[:3]], [Expected(b) for b in bits[3:]], [Mixer(TREE_GATES, TREE_PREDICTORS), Mixer(WORD_GATES, WORD_PREDICTORS)])
 
 
-def word_bits(tokens: int, most: tuple[int, ...] = (21, 23, 18, 22, 22)) -> tuple[int, ...]:
+def word_bits(tokens: int, most: tuple[int, ...] = (22, 22, 18, 22, 22)) -> tuple[int, ...]:
     """Table sizes for so many training tokens: they grow with them up to `most`, which bounds what is broadcast."""
-    return tuple(min(max(16, (tokens // share).bit_length()), m) for share, m in zip((64, 16, 64, 32, 32), most, strict=True))
+    return tuple(min(max(16, (tokens // share).bit_length()), m) for share, m in zip((8, 16, 64, 32, 32), most, strict=True))
 
 
 def _level(counts: np.ndarray, low: int, high: int) -> np.ndarray:
