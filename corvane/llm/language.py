@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import require
+from corvane.llm.common import hold, require
 from corvane.session import text_batches
 
 #: Documents of a language that teach, about: a bounded sample by a seeded hash of doc_id, as whole texts.
@@ -146,9 +146,6 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: in
     return Model.of(languages, _vectors(found[0], languages, sums[0], 0.5), _vectors(found[1], languages, sums[1], 0.5))
 
 
-_ready: dict[str, Model] = {}
-
-
 def share(documents: DataFrame, model: Model):
     """The model as a broadcast; its number tells models of one session apart."""
     return documents.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model.packed()))
@@ -156,11 +153,7 @@ def share(documents: DataFrame, model: Model):
 
 def ready(shared) -> Model:
     """The broadcast model, set up once in a Python worker."""
-    key = shared.value[0]
-    if key not in _ready:
-        _ready.clear()
-        _ready[key] = Model.unpacked(*shared.value[1]).prepared()
-    return _ready[key]
+    return hold(shared.value[0], lambda: Model.unpacked(*shared.value[1]).prepared())
 
 
 def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corvane.llm.common import require
+from corvane.llm.common import release, require
 from corvane.llm.wordhash import blocks, mix, sequence_hashes, shingle_sets
 from corvane.operators.groups import connected_components
 from corvane.session import cut
@@ -63,6 +63,7 @@ def chunk_plan(distance: int) -> list[tuple[int, ...]]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         counts, first, second, signs = [], [], [], []
         for _, _, words in blocks(batch.column("text")):
@@ -115,6 +116,7 @@ def _near(percent: int, distance: int) -> Column:
 
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             links = []
             for at in range(0, batch.num_rows, 256):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import parts, require
+from corvane.llm.common import hold, parts, require
 
 CAPACITY = 2048
 END_ID = 1
@@ -84,14 +84,9 @@ class Encoder:
         return np.array(ids, dtype="<u4")
 
 
-_encoder: list[Encoder] = []
-
-
 def tokenize_pieces(batches: Iterator[pa.RecordBatch], capacity: int = CAPACITY) -> Iterator[pa.RecordBatch]:
     """Pieces of whole texts, each at most `capacity` ids; `turn` counts equal pieces within a task."""
-    if not _encoder:
-        _encoder.append(Encoder())
-    encode, seen = _encoder[0], {}
+    encode, seen = hold("packing", Encoder), {}
     for batch in batches:
         out: list[tuple] = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

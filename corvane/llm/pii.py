@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import require
+from corvane.llm.common import release, require
 from corvane.session import text_batches
 
 #: Kinds in the order of a document's span list; the first four are the base kinds.
@@ -302,6 +302,7 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         rows = []
         for text in batch.column("text"):
@@ -349,6 +350,7 @@ def digest(documents: DataFrame) -> DataFrame:
 
 
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         at = batch.schema.get_field_index("text")
         texts = [None if (t := x.as_py()) is None else redact(t, find_spans(t)) for x in batch.column(at)]
