@@ -17,6 +17,8 @@ def parser() -> argparse.ArgumentParser:
     p = verbs.add_parser("prepare")
     p.add_argument("manifest")
     p.add_argument("--voice", required=True, help="module:function that makes the voice model")
+    p.add_argument("--speakers", help="module:function that makes the diarization model")
+    p.add_argument("--identities", help="a JSON file with the identities of the models `vad` and `diarization`")
     p = verbs.add_parser("score")
     p.add_argument("manifest")
     p.add_argument("--stages", required=True, help="module:function that gives the list of stages")
@@ -62,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
         spark = local_session()
         ship(spark)
         if args.verb == "prepare":
-            said = {"segments": commands.prepare(spark, args.manifest, args.out, _found(args.voice))}
+            said = {"segments": commands.prepare(spark, args.manifest, args.out, _found(args.voice), args.speakers and _found(args.speakers), _json(args.identities))}
         elif args.verb == "score":
             said = commands.score(spark, args.manifest, args.out, _found(args.stages)(), args.retry_errors)
         elif args.verb == "select":

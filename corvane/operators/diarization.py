@@ -45,7 +45,7 @@ def summarize(spans: DataFrame, frames: DataFrame, threshold: float = 0.5) -> Da
     forced cut, any other gap an error. An episode that uses all speakers marks its spans as at capacity.
     """
     tagged = frames.withColumn("b", F.col("a") + STEP)
-    tagged = tagged.withColumn("who", F.filter(F.transform("p", lambda x, i: F.when(x >= threshold, i)), lambda i: i.isNotNull()))
+    tagged = tagged.withColumn("who", F.filter(F.transform("p", lambda x, i: F.when(x > threshold, i)), lambda i: i.isNotNull()))
     whole = tagged.groupBy("episode").agg(F.max("b").alias("covered_end"), F.size(F.array_distinct(F.flatten(F.collect_set("who")))).alias("used"))
     met = range_join(spans, tagged.drop("p"), CHUNK * STEP)
     key = ["episode", "begin", "finish"]

@@ -9,15 +9,17 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane import session
 from corvane.functions import dsp
 from corvane.functions.hashing import canonical
 from corvane.functions.text import agreement, kept, normalize
+from corvane.operators import diarization, selection, splits, stages, vad
 from corvane.operators import policy as rules
-from corvane.operators import selection, splits, stages, vad
 from corvane.sources import audio, manifest
 
 BASE = (
@@ -27,6 +29,9 @@ BASE = (
 )
 RESULTS = "id string, stage string, metrics map<string,double>, texts map<string,string>, error string, seconds double, attempt long"
 
+#: What stages say besides numbers, in the merged view; lists as JSON.
+SAID = ("alignment_status", "speaker_status", "diarization_status", "diarization_reasons", "speaker_turns", "speaker_id_scope", "alignment", "alignment_reasons")
+
 
 @dataclass
 class Stage:
@@ -77,6 +82,13 @@ def _probe(folder: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFr
     return run
 
 
+def _bounds(row: Mapping[str, Any], seconds: float | None) -> tuple[float, float | None]:
+    """Start and end in seconds, from samples where they are given; without an end `seconds`."""
+    if row["timebase_hz"]:
+        return row["start_sample"] / row["timebase_hz"], row["end_sample"] / row["timebase_hz"]
+    return row["start"] or 0.0, row["end"] or seconds
+
+
 def _measure(attempt: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     names = [c.split()[0] for c in BASE.split(", ")]
 
@@ -85,8 +97,7 @@ def _measure(attempt: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
             if row["problem"] or row["reference_problem"]:
                 raise ValueError(row["problem"] or row["reference_problem"])
             row |= {"audio": row["path"], "source_sha256": row["sha256"], "source_sample_rate": row["rate"]}
-            begin = row["start_sample"] / row["timebase_hz"] if row["timebase_hz"] else row["start"] or 0.0
-            finish = row["end_sample"] / row["timebase_hz"] if row["timebase_hz"] else row["end"] or row["seconds"]
+            begin, finish = _bounds(row, row["seconds"])
             clip = dsp.checked(audio.decode(row["path"], begin, finish))
             row |= dsp.signals(clip) | {"start": begin, "end": finish}
         except (OSError, ValueError, RuntimeError) as problem:
@@ -110,7 +121,7 @@ def _prepared(stage: Stage, row: Mapping[str, Any]) -> Mapping[str, Any] | None:
         raise ValueError("prepared diarization is of another model")
     if given.get("source_sha256") not in (None, row["source_sha256"]):
         raise ValueError("prepared diarization is of another source")
-    return {k: v for k, v in given["prepared_diarization"].items() if isinstance(v, int | float | str)}
+    return given["prepared_diarization"]
 
 
 def _apply(stage: Stage, attempt: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -121,6 +132,8 @@ def _apply(stage: Stage, attempt: int) -> Callable[[Iterator[pd.DataFrame]], Ite
             for row in pdf.astype(object).where(pdf.notna(), None).to_dict("records"):
                 began, numbers, texts, error = time.monotonic(), {}, {}, None
                 try:
+                    if row["source_sha256"] != row["sha256_now"]:
+                        raise ValueError("the source changed since it was measured")
                     found = _prepared(stage, row)
                     if found is None:
                         model = model or stage.make()
@@ -128,6 +141,8 @@ def _apply(stage: Stage, attempt: int) -> Callable[[Iterator[pd.DataFrame]], Ite
                     for key, value in found.items():
                         if value is None or isinstance(value, str):
                             texts[key] = value
+                        elif isinstance(value, list | tuple | dict):  # turns, reasons, alignments: as JSON
+                            texts[key] = canonical(value)
                         else:
                             numbers[key] = float(value)
                     canonical(numbers)  # numbers that aren't finite are errors
@@ -179,6 +194,9 @@ def score(spark: SparkSession, path: str, out: str, run: Sequence[Stage], retry_
             texts = _results(spark, out).where("stage = 'asr'").select("id", F.col("texts")["text"].alias("text"))
             missing = missing.join(texts, "id", "left")
         if not missing.isEmpty():
+            # Each distinct source is hashed once more before a stage reads it.
+            now = missing.select("audio").distinct().mapInPandas(_hash_now("sha256_now"), "audio string, sha256_now string")
+            missing = missing.join(now, "audio", "left")
             missing.mapInPandas(_apply(stage, attempt), RESULTS).write.mode("append").partitionBy("stage").parquet(f"{out}/results")
     changed = [base.where(F.col("attempt") == attempt).select("id"), _results(spark, out).where(F.col("attempt") == attempt).select("id")]
     scored = changed[0].unionByName(changed[1]).distinct().count()
@@ -201,7 +219,7 @@ def records(spark: SparkSession, out: str) -> DataFrame:
     merged = merged.join(texts, "id", "left")
     text = F.coalesce(F.aggregate("t", F.lit(None).cast("string"), lambda s, e: F.coalesce(e["texts"]["text"], s)), F.when(F.col("silent"), F.lit("")))
     said = lambda key: F.aggregate("t", F.lit(None).cast("string"), lambda s, e: F.coalesce(e["texts"][key], s)).alias(key)
-    merged = merged.withColumn("text", text).select("*", said("alignment_status"), said("speaker_status"))
+    merged = merged.withColumn("text", text).select("*", *[said(key) for key in SAID])
     merged = merged.withColumn("_r", normalize(F.col("reference_text"), F.col("language"))).withColumn("_h", normalize(F.col("text"), F.col("language")))
     merged = merged.withColumn("_a", F.when(F.length("_r") > 0, agreement(F.col("_r"), F.col("_h"), F.col("language"))))
     own = ("source_sample_rate", "duration_s", "rms_dbfs", "peak", "full_scale_ratio")
@@ -223,25 +241,30 @@ def decide(rows: DataFrame, policy: Mapping, profile: str | None = None) -> Data
     return rows.withColumn("_d", found).select(*rows.columns, "_d.status", "_d.reasons")
 
 
-def _hash_now(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _hash_now(name: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Paths with their files' hashes in the column `name`, null where a file can't be read."""
+
     def one(path: str) -> str | None:
         try:
             return audio.file_hash(path)
         except OSError:
             return None
 
-    for pdf in batches:
-        yield pd.DataFrame({"audio": pdf["audio"], "sha256": [one(p) for p in pdf["audio"]]})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([(p, one(p)) for p in pdf["audio"]], columns=["audio", name])
+
+    return run
 
 
 def select(spark: SparkSession, scored: str, policy: Mapping, out: str, profile: str | None = None) -> dict[str, Any]:
     """Decisions on all records, exact duplicates rejected, written to a fresh folder; counts by status."""
     decided = decide(records(spark, scored), policy, profile)
-    now = decided.select("audio").where("source_sha256 is not null").distinct().mapInPandas(_hash_now, "audio string, sha256 string")
+    now = decided.select("audio").where("source_sha256 is not null").distinct().mapInPandas(_hash_now("sha256"), "audio string, sha256 string")
     final = selection.first_accepted_wins(selection.source_changes(decided, now))
     final.write.mode("errorifexists").parquet(f"{out}/decisions")
     final = spark.read.parquet(f"{out}/decisions")
-    final.where("status = 'accept'").orderBy("seq").coalesce(1).write.json(f"{out}/accepted")
+    final.where("status = 'accept'").orderBy("seq").write.json(f"{out}/accepted")
     counts = {r["status"]: r["n"] for r in selection.counts_by(final, "status", rules.STATUSES).collect()}
     _save(spark, f"{out}/summary", {"counts": counts, "policy": policy, "profile": profile})
     return counts
@@ -254,7 +277,7 @@ def calibrate(
     rows = records(spark, scored)
     sample = selection.review_sample(rows, ["language", "kind"], per_group, seed)
     sample = sample.withColumn("human_label", F.lit(None).cast("string")).withColumn("human_notes", F.lit(""))
-    sample.orderBy("language", "kind", "rank").coalesce(1).write.mode("errorifexists").json(f"{out}/review")
+    sample.orderBy("language", "kind", "rank").write.mode("errorifexists").json(f"{out}/review")
     if labels is None or policy is None:
         return None
     given = spark.read.json(labels).where(F.col("human_label").isin("accept", "reject"))
@@ -284,14 +307,39 @@ def _write_clips(out: str, rate: int | None) -> Callable[[Iterator[pd.DataFrame]
                 frames, channels = audio.verify(path, round((row["end"] - row["start"]) * target), target)
                 if channels != clip.shape[1]:
                     raise ValueError(f"{path} has {channels} channels, its source {clip.shape[1]}")
-                done.append((row["id"], row["path"], target, frames, channels))
-            yield pd.DataFrame(done, columns=["id", "path", "sample_rate", "frames", "channels"])
+                done.append((row["id"], row["path"], target, frames, channels, audio.file_hash(path)))
+            yield pd.DataFrame(done, columns=["id", "path", "sample_rate", "frames", "channels", "sha256"])
+
+    return run
+
+
+def _intact(out: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Those of the finished clips whose files are there and unchanged."""
+
+    def same(path: str, sha256: str) -> bool:
+        try:
+            return audio.file_hash(f"{out}/{path}") == sha256
+        except OSError:
+            return False
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[[same(p, h) for p, h in zip(pdf["path"], pdf["sha256"], strict=True)]]
 
     return run
 
 
+CLIPS = "id string, path string, sample_rate int, frames long, channels int, sha256 string"
+
+
+def _finished(spark: SparkSession, out: str) -> DataFrame:
+    """The last clip of each id."""
+    rows = spark.read.parquet(f"{out}/outputs")
+    return rows.groupBy("id").agg(F.max_by(F.struct("path", "sample_rate", "frames", "channels", "sha256"), "attempt").alias("r")).select("id", "r.*")
+
+
 def export(spark: SparkSession, selected: str, out: str, sample_rate: int | None = None, seed: str = "0", train: float = 0.9, validation: float = 0.05) -> dict[str, Any]:
-    """Clips of accepted records in leakage-safe splits, with metadata in manifest order; finished clips are kept on a resume."""
+    """Clips of accepted records in leakage-safe splits, with metadata in manifest order; finished clips that are unchanged are kept on a resume."""
     if sample_rate is not None and not 8000 <= sample_rate <= 192_000:
         raise ValueError("sample rates are 8000 to 192000")
     rows = spark.read.parquet(f"{selected}/decisions").where("status = 'accept'")
@@ -302,51 +350,144 @@ def export(spark: SparkSession, selected: str, out: str, sample_rate: int | None
     dealt = dealt.withColumn("path", F.concat("split", F.lit("/"), F.sha2("id", 256), F.lit(".wav")))
     todo = dealt
     if exists(spark, f"{out}/outputs"):
-        todo = dealt.join(spark.read.parquet(f"{out}/outputs"), "id", "left_anti")
+        todo = dealt.join(_finished(spark, out).mapInPandas(_intact(out), CLIPS), "id", "left_anti")
     if not todo.isEmpty():
         todo.select("id", "path", "audio", "source_sha256", "source_sample_rate", "start", "end").mapInPandas(
-            _write_clips(out, sample_rate), "id string, path string, sample_rate int, frames long, channels int"
-        ).write.mode("append").parquet(f"{out}/outputs")
-    done = spark.read.parquet(f"{out}/outputs").drop("path")
+            _write_clips(out, sample_rate), CLIPS
+        ).withColumn("attempt", F.lit(time.time_ns())).write.mode("append").parquet(f"{out}/outputs")
+    done = _finished(spark, out).drop("path", "sha256")
     items = dealt.join(done, "id")
-    items.orderBy("seq").coalesce(1).write.mode("overwrite").json(f"{out}/metadata")
+    items.orderBy("seq").write.mode("overwrite").json(f"{out}/metadata")
     counts = {r["split"]: r["n"] for r in selection.counts_by(items, "split", ("train", "validation", "test")).collect()}
     rates = [r.asDict() for r in items.groupBy("source_sample_rate", "sample_rate").agg(F.count("*").alias("n")).orderBy("source_sample_rate", "sample_rate").collect()]
     return {"splits": counts, "conversions": rates}
 
 
+SPANS = "episode string, sha256 string, begin long, finish long, cut boolean"
+FRAMES = "episode string, sha256 string, a long, p array<array<float>>"
+
+
+def _speech(voice: Callable[[], Callable[[Any], float]], options: Mapping[str, Any]) -> Callable[[dict], Iterator[tuple]]:
+    def of(row: dict) -> Iterator[tuple]:
+        begin, finish = _bounds(row, None)
+        offset, model = round(begin * dsp.RATE), voice()
+        state, rest, total, spans = vad.Activity(**options), np.zeros(0, np.float32), 0, []
+        for block in audio.stream(row["path"], begin, finish):
+            total += len(block)
+            rest = np.concatenate([rest, block])
+            whole = len(rest) // vad.WINDOW * vad.WINDOW
+            spans += state.feed([model(w) for w in rest[:whole].reshape(-1, vad.WINDOW)])
+            rest = rest[whole:]
+        if len(rest):
+            spans += state.feed([model(np.pad(rest, (0, vad.WINDOW - len(rest))))])
+        for a, b, cut in [*spans, *state.finish(total)]:
+            if not 0 <= a < b or b - a > vad.MOST_SAMPLES:
+                raise ValueError(f"{row['id']}: a speech span is empty or longer than 30 s")
+            yield offset + a, offset + b, cut
+
+    return of
+
+
+def _speakers(make: Callable[[], Callable[[Iterator[Any]], Iterator[tuple[int, Any]]]]) -> Callable[[dict], Iterator[tuple]]:
+    def of(row: dict) -> Iterator[tuple]:
+        begin, finish = _bounds(row, None)
+        offset = round(begin * dsp.RATE)
+        for first, found in make()(audio.stream(row["path"], begin, finish)):
+            for a, _, part in diarization.chunks(diarization.checked(found), offset + first):
+                yield a, part.tolist()
+
+    return of
+
+
+def _episodes(of: Callable[[dict], Iterator[tuple]], schema: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Rows of each episode as they come, after one without values that tells that the episode was read."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.astype(object).where(pdf.notna(), None).to_dict("records"):
+                own = (row["id"], row["sha256"])
+                yield pd.DataFrame([own + (None,) * (len(names) - 2)], columns=names, dtype=object)
+                for values in of(row):
+                    yield pd.DataFrame([own + values], columns=names, dtype=object)
+
+    return run
+
+
+def _segments(identities: Mapping[str, Mapping], diarized: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The lines of a manifest of segments: all that the episode's line holds, under what the segment says itself."""
+
+    def line(row: dict) -> str:
+        a, b, given = row["begin"], row["finish"], json.loads(row["input"])
+        segment = {
+            "id": f"{row['id']}:{a}:{b}", "audio": row["path"], "source_id": given.get("source_id", row["id"]), "start_sample": a, "end_sample": b, "timebase_hz": dsp.RATE,
+            "start": a / dsp.RATE, "end": b / dsp.RATE, "boundary_cut": bool(row["cut"]), "vad": dict(identities.get("vad", {})), "source_sha256": row["sha256"],
+        }
+        if diarized:
+            found = json.loads(row["summary"])
+            tail = found.pop("unscored_tail_samples")
+            if tail is not None:
+                segment["boundary_cut"] = True
+                found |= {"diarization_status": "review", "diarization_reasons": ["unscored_diarization_tail"], "unscored_tail_samples": tail, "speaker_turns": []}
+            segment |= {"prepared_diarization": found | {"speaker_id_scope": "source_local"}, "diarization_identity": dict(identities.get("diarization", {}))}
+        return json.dumps(given | segment, ensure_ascii=False)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"seq": pdf["seq"], "begin": pdf["begin"], "line": [line(r) for r in pdf.to_dict("records")]})
+
+    return run
+
+
 def prepare(
-    spark: SparkSession, path: str, out: str, voice: Callable[[], Callable[[Any], float]], speakers: Callable[[], Callable[[Any], Any]] | None = None, **options: Any
+    spark: SparkSession, path: str, out: str, voice: Callable[[], Callable[[Any], float]], speakers: Callable[[], Callable[[Iterator[Any]], Iterator[tuple[int, Any]]]] | None = None,
+    identities: Mapping[str, Mapping] | None = None, **options: Any,
 ) -> int:
-    """Untranscribed podcasts to a manifest of speech segments. `voice` makes a model from a 512-sample window to a probability."""
-    rows = manifest.read(spark, path)
+    """Untranscribed podcasts to a manifest of speech segments in manifest order, with their speakers if `speakers` is given.
+
+    voice: makes, for an episode, a model from a 512-sample window to a probability. speakers: makes one from an episode's
+    blocks of samples to (first sample, frames by 8 probabilities). identities: of the models `vad` and `diarization`; the
+    latter's `activity_threshold` is what a probability must pass. Episodes that were read before are kept in `out`.state
+    and not read again; other models, changed sources, or an output that differs are errors.
+    """
+    rows, identities = manifest.read(spark, path), identities or {}
     if not rows.where("kind <> 'podcast' or length(reference_text) > 0").isEmpty():
         raise ValueError("prepare takes podcasts without a transcript")
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
-        model = voice()
-        for pdf in batches:
-            found = []
-            for row in pdf.to_dict("records"):
-                where = audio.resolve(row["audio"], path)
-                state, rest, total, spans = vad.Activity(**options), np.zeros(0, np.float32), 0, []
-                for block in audio.stream(where):
-                    total += len(block)
-                    rest = np.concatenate([rest, block])
-                    whole = len(rest) // vad.WINDOW * vad.WINDOW
-                    spans += state.feed([model(w) for w in rest[:whole].reshape(-1, vad.WINDOW)])
-                    rest = rest[whole:]
-                if len(rest):
-                    spans += state.feed([model(np.pad(rest, (0, vad.WINDOW - len(rest))))])
-                spans += state.finish(total)
-                if any(not 0 <= a < b or b - a > vad.MOST_SAMPLES for a, b, _ in spans):
-                    raise ValueError(f"{row['id']}: a speech span is empty or longer than 30 s")
-                found += [(f"{row['id']}:{a}:{b}", row["audio"], row["language"], row["seq"], a, b, dsp.RATE, a / dsp.RATE, b / dsp.RATE, c, row["id"]) for a, b, c in spans]
-            yield pd.DataFrame(found, columns=["id", "audio", "language", "seq", "start_sample", "end_sample", "timebase_hz", "start", "end", "boundary_cut", "source_id"])
-
-    schema = "id string, audio string, language string, seq long, start_sample long, end_sample long, timebase_hz long, start double, end double, boundary_cut boolean, source_id string"
-    found = rows.select("id", "audio", "language", "seq").mapInPandas(cut, schema)
-    found.orderBy("seq", "start_sample").drop("seq").coalesce(1).write.mode("errorifexists").json(out)
-    return spark.read.json(out).count()
+    state, diarized = f"{out}.state", speakers is not None
+    _same_run(spark, f"{state}/config", {"identities": {k: dict(v) for k, v in identities.items()}, "diarized": diarized, "options": options})
+    probed = rows.select(F.col("audio").alias("name")).distinct().mapInPandas(_probe(path), "name string, path string, sha256 string, rate int, seconds double, problem string")
+    known = rows.select("id", "seq", "audio", "input", "start", "end", "start_sample", "end_sample", "timebase_hz").join(probed, F.col("audio") == F.col("name"), "left")
+    known = session.cut(known.drop("name", "audio"))
+    if found := known.where("problem is not null").orderBy("seq").first():
+        raise ValueError(f"{found['id']}: {found['problem']}")
+    readers = [("spans", _speech(voice, options), SPANS)] + ([("frames", _speakers(speakers), FRAMES)] if diarized else [])
+    for name, of, schema in readers:
+        todo = known
+        if exists(spark, f"{state}/{name}"):
+            read = spark.read.parquet(f"{state}/{name}").select(F.col("episode").alias("id"), F.col("sha256").alias("was")).distinct()
+            if changed := known.join(read, "id").where("sha256 <> was").first():
+                raise ValueError(f"{changed['id']}: the source changed since it was read")
+            todo = known.join(read, "id", "left_anti")
+        if not todo.isEmpty():
+            todo.mapInPandas(_episodes(of, schema), schema).write.mode("append").parquet(f"{state}/{name}")
+    spans = spark.read.parquet(f"{state}/spans").where("begin is not null").drop("sha256")
+    found = known.withColumnRenamed("id", "episode").join(spans, "episode")
+    if diarized:
+        frames = diarization.frames_of(spark.read.parquet(f"{state}/frames").where("a is not null"))
+        told = diarization.summarize(found.select("episode", "begin", "finish"), frames, identities.get("diarization", {}).get("activity_threshold", 0.5))
+        told = session.cut(told)
+        if wrong := told.where("error is not null").first():
+            raise ValueError(f"{wrong['episode']}: {wrong['error']}")
+        kept = F.struct("diar_speakers", "overlap_ratio", "overlap_seconds", "speaker_turns", "speaker_capacity_reached", "unscored_tail_samples")
+        found = found.join(told.select("episode", "begin", "finish", F.to_json(kept, {"ignoreNullFields": "false"}).alias("summary")), ["episode", "begin", "finish"])
+    else:
+        found = found.withColumn("summary", F.lit(None).cast("string"))
+    found = found.select(F.col("episode").alias("id"), "seq", "path", "sha256", "input", "begin", "finish", "cut", "summary")
+    lines = session.cut(found.mapInPandas(_segments(identities, diarized), "seq long, begin long, line string"))
+    if exists(spark, out):
+        old, new = spark.read.text(out), lines.select(F.col("line").alias("value"))
+        if not old.exceptAll(new).isEmpty() or not new.exceptAll(old).isEmpty():
+            raise ValueError(f"{out} exists and differs")
+    else:
+        lines.orderBy("seq", "begin").select("line").write.mode("errorifexists").text(out)
+    return lines.count()

@@ -77,7 +77,12 @@ def test_score_select_export(spark, corpus):
     done = commands.export(spark, str(folder / "selected"), str(folder / "clips"), 8000)
     assert sum(done["splits"].values()) == 1 and done["conversions"] == [{"source_sample_rate": 16000, "sample_rate": 8000, "n": 1}]
     assert commands.export(spark, str(folder / "selected"), str(folder / "clips"), 8000) == done
-    assert len(list((folder / "clips").rglob("*.wav"))) == 1
+    (clip,) = (folder / "clips").rglob("*.wav")
+    before = clip.read_bytes()
+    for spoil in (clip.unlink, lambda: clip.write_bytes(b"cut off")):
+        spoil()
+        assert commands.export(spark, str(folder / "selected"), str(folder / "clips"), 8000) == done
+        assert clip.read_bytes() == before
     labels = folder / "labels.jsonl"
     keep = {k: rows["one"][k] for k in ("id", "source_sha256", "pcm_sha256", "input")}
     labels.write_text(json.dumps(keep | {"human_label": "accept"}))
@@ -105,14 +110,66 @@ def test_clips_keep_rate_and_channels(tmp_path):
         assert rate or np.array_equal(raw, (sound[12_000:36_000] * 32768).round())
 
 
+def loud():
+    return lambda w: float(np.abs(w).mean() > 0.1)
+
+
+def two_speakers():
+    """Speaker 0 all the time, speaker 1 in the first half of each block; a probability of 0.5 is silence."""
+
+    def run(blocks):
+        at = 0
+        for block in blocks:
+            frames = np.full((len(block) // 160, 8), 0.5, np.float32)
+            frames[:, 0] = 0.9
+            frames[: len(frames) // 2, 1] = 0.8
+            yield at, frames
+            at += len(block)
+
+    return run
+
+
 def test_prepare(spark, tmp_path):
     clip = np.concatenate([np.zeros(16_000), np.full(16_000, 0.5), np.zeros(16_000)])
     audio.write_wav(str(tmp_path / "e.wav"), clip, 16_000)
-    (tmp_path / "m.jsonl").write_text(json.dumps({"id": "e", "audio": "e.wav", "language": "en"}))
-    n = commands.prepare(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "segments"), lambda: lambda w: float(np.abs(w).mean() > 0.1))
-    assert n == 1
-    found = spark.read.json(str(tmp_path / "segments")).first()
-    assert found["boundary_cut"] is False and abs(found["start"] - 1) < 0.05 and abs(found["end"] - 2) < 0.1
+    path, out = str(tmp_path / "m.jsonl"), str(tmp_path / "segments")
+    rows = [{"id": "e", "audio": "e.wav", "language": "en", "show": {"n": 1}}, {"id": "late", "audio": "e.wav", "language": "en", "start": 0.5, "end": 2.5, "source_id": "s"}]
+    (tmp_path / "m.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    models = {"vad": {"model": 1}, "diarization": {"model": 2}}
+    assert commands.prepare(spark, path, out, loud, two_speakers, models) == 2
+    first, late = (json.loads(r["value"]) for r in spark.read.text(out).collect())
+    assert first["boundary_cut"] is False and abs(first["start"] - 1) < 0.05 and abs(first["end"] - 2) < 0.1
+    assert first["show"] == {"n": 1} and first["source_id"] == "e" and late["source_id"] == "s" and first["source_sha256"] == audio.file_hash(str(tmp_path / "e.wav"))
+    # The bounds of the row shift windows, not what they hold.
+    assert abs(late["start_sample"] - first["start_sample"]) <= 512 and late["id"] == f"late:{late['start_sample']}:{late['end_sample']}"
+    told = first["prepared_diarization"]
+    assert told["diar_speakers"] == 2 and [t["speaker"] for t in told["speaker_turns"]] == ["speaker_0", "speaker_1"] and 0 < told["overlap_ratio"] < 1
+    assert first["diarization_identity"] == {"model": 2} and not told["speaker_capacity_reached"]
+    assert commands.prepare(spark, path, out, None, two_speakers, models) == 2  # nothing is read again
+    with pytest.raises(ValueError):
+        commands.prepare(spark, path, out, loud, two_speakers, {"vad": {"model": 3}})
+    (tmp_path / "m.jsonl").write_text(json.dumps(rows[0]))
+    with pytest.raises(ValueError, match="differs"):
+        commands.prepare(spark, path, out, loud, two_speakers, models)
+    # Scoring takes what was prepared, turns and all.
+    scored, seen = str(tmp_path / "scored"), [commands.Stage("asr", asr), commands.Stage("diarization", None, identity={"model": 2})]
+    lines = tmp_path / "segments.jsonl"
+    lines.write_text("\n".join(r["value"] for r in spark.read.text(out).collect()))
+    assert commands.score(spark, str(lines), scored, seen)["errors"] == 0
+    row = commands.records(spark, scored).orderBy("seq").first()
+    assert json.loads(row["speaker_turns"]) == told["speaker_turns"] and row["overlap_ratio"] == told["overlap_ratio"]
+    audio.write_wav(str(tmp_path / "e.wav"), clip / 2, 16_000)
+    assert commands.score(spark, str(lines), scored, [*seen, commands.Stage("quality", quality)])["errors"] == 2
+    with pytest.raises(ValueError, match="changed"):
+        commands.prepare(spark, path, str(tmp_path / "segments"), loud, two_speakers, models)
+
+
+def test_prepare_without_speakers(spark, tmp_path):
+    tone(tmp_path / "t.wav", 440, 1.0)
+    (tmp_path / "m.jsonl").write_text(json.dumps({"id": "t", "audio": "t.wav", "language": "en"}))
+    assert commands.prepare(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "none"), lambda: lambda w: 0.0) == 0
+    assert commands.prepare(spark, str(tmp_path / "m.jsonl"), str(tmp_path / "some"), loud) == 1
+    assert "prepared_diarization" not in spark.read.json(str(tmp_path / "some")).columns
 
 
 @pytest.mark.parametrize(
