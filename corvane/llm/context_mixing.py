@@ -142,9 +142,11 @@ class Expected:
         slot, mark = place
         coded = symbol.astype(np.int32) | mark
         stored, hits, misses = (self.data[k] for k in self.KIND.names)
-        empty = hits[slot] == 0
-        stored[slot[empty]] = coded[empty]
-        same = stored[slot] == coded
+        found = self.data.take(slot)
+        same, empty = found["symbol"] == coded, np.flatnonzero(found["hits"] == 0)
+        taken, new = slot[empty], coded[empty]
+        stored[taken] = new
+        same[empty] = stored[taken] == new
         for counts, at in ((hits, slot[same]), (misses, slot[~same])):
             np.add.at(counts, at, np.uint16(1))
             if (now := counts[at]).max(initial=0) > LARGE:
@@ -244,7 +246,8 @@ class Mixer:
         flat = self.rate.reshape(-1)
         refined = (1 - share) * flat.take(low) + share * flat.take(low + 1)
         plain = 1 / (1 + np.exp(-np.clip(mixed, -30, 30)))
-        return np.log10(np.clip(REFINED * refined + (1 - REFINED) * plain, LEAST, 1 - LEAST))
+        # The natural logarithm is the one that NumPy computes many at a time.
+        return np.log(np.clip(REFINED * refined + (1 - REFINED) * plain, LEAST, 1 - LEAST)) * np.float32(1 / np.log(10))
 
     def packed(self) -> bytes:
         return np.concatenate([self.weights * self.mass[:, None], self.mass[:, None], self.curve], axis=1).tobytes()

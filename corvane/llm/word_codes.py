@@ -255,9 +255,14 @@ def score_words(codes: Codes, model: WordModel, words: Words, taught: np.ndarray
     total = np.zeros(len(tokens.leaf))
     left_out = taught[tokens.row].astype(np.int32)
     first, rest = _expectations(model, tokens, left_out)
-    for k, decisions in ((0, _tree_decisions(codes, model, tokens, rest, left_out, True)), (1, first)):
-        for d in decisions:
-            total[d.token] += model.mixers[k].log10(d.logits, d.gate)
+    # A level's tokens are the first of those of the level below, so that sums are kept in their order.
+    order, sums = rest[:0], np.zeros(len(rest))
+    for d in _tree_decisions(codes, model, tokens, rest, left_out, True):
+        order = order if len(order) else d.token
+        sums[: len(d.token)] += model.mixers[0].log10(d.logits, d.gate)
+    total[order] = sums[: len(order)]
+    for d in first:
+        total[d.token] += model.mixers[1].log10(d.logits, d.gate)
     return tokens, total
 
 
